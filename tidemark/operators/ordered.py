@@ -26,6 +26,7 @@ from tidemark.functions.sizing import is_small
 CHUNK = "__chunk"
 HOT = "__hot"
 CUTS = "__cuts"
+KEY_HASH = "__key_hash"
 
 SAMPLES_PER_CHUNK = 16
 TARGET_ROWS = 2_000_000
@@ -72,12 +73,11 @@ def _sql_literal(value, dtype: T.DataType) -> str:
     return f"cast('{quoted}' as {dtype.simpleString()})"
 
 
-def _cut_points(sample: list[tuple], n_keys: int) -> dict[tuple, list]:
-    per_key: dict[tuple, list] = defaultdict(list)
-    for row in sample:
-        value = row[n_keys:]
+def _cut_points(sample: list[tuple]) -> dict[int, list]:
+    per_key: dict[int, list] = defaultdict(list)
+    for key, *value in sample:
         if all(v is not None for v in value):
-            per_key[tuple(row[:n_keys])].append(value if len(value) > 1 else value[0])
+            per_key[key].append(tuple(value) if len(value) > 1 else value[0])
     cuts = {}
     for key, values in per_key.items():
         pieces = len(values) // SAMPLES_PER_CHUNK
@@ -110,25 +110,27 @@ def cut(
         return whole
     # Expected sample: SAMPLES_PER_CHUNK * n / limit <= SAMPLES_PER_CHUNK * max_chunks rows.
     fraction = min(1.0, SAMPLES_PER_CHUNK / limit)
-    sample = df.select(*keys, *order).sample(fraction, seed=7).collect()
-    cuts = _cut_points([tuple(r) for r in sample], len(keys))
+    # Keys are sampled as hashes, so their width does not matter. Two keys with one hash would share
+    # cut points, which is harmless: rows are still grouped by the keys themselves.
+    key_hash = F.xxhash64(*keys) if keys else F.lit(0).cast("bigint")
+    sample = df.select(key_hash, *order).sample(fraction, seed=7).collect()
+    cuts = _cut_points([tuple(r) for r in sample])
     if not cuts:
         return whole
     longest = max(len(c) for c in cuts.values())
     value = _order_value(order)
     order_type = df.select(value.alias("v")).schema["v"].dataType
     if not keys:
-        points = F.expr("array(%s)" % ", ".join(_sql_literal(c, order_type) for c in cuts[()]))
+        points = F.expr("array(%s)" % ", ".join(_sql_literal(c, order_type) for c in cuts[0]))
         return Cut(df.withColumn(CHUNK, _position(points, value, longest)), keys, order, split=True)
-    key_fields = [T.StructField(f"__{k}", df.schema[k].dataType) for k in keys]
-    schema = T.StructType([*key_fields, T.StructField(CUTS, T.ArrayType(order_type))])
-    table = spark.createDataFrame([(*k, c) for k, c in cuts.items()], schema)
-    same_key = [df[k].eqNullSafe(table[f"__{k}"]) for k in keys]
+    schema = T.StructType().add(KEY_HASH, T.LongType()).add(CUTS, T.ArrayType(order_type))
+    table = spark.createDataFrame(list(cuts.items()), schema)
     rows = (
-        df.join(F.broadcast(table), same_key, "left")
+        df.withColumn(KEY_HASH, key_hash)
+        .join(F.broadcast(table), KEY_HASH, "left")
         .withColumn(HOT, F.col(CUTS).isNotNull())
         .withColumn(CHUNK, F.when(F.col(HOT), _position(F.col(CUTS), value, longest)).otherwise(0))
-        .drop(CUTS, *[f.name for f in key_fields])
+        .drop(CUTS, KEY_HASH)
     )
     return Cut(rows, keys, order, split=True)
 

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.sizing import is_small
+from tidemark.functions.sizing import is_small, settle
 from tidemark.operators.ordered import running, shifted
 from tidemark.session import scratch_root
 
@@ -111,13 +111,14 @@ def rising_alerts(
     at most ``longest_fold`` rises are folded as one small array; longer ones (a value that never
     falls) follow links between rises with joins, see ``_linked_starts``.
     """
-    near = shifted(df.select(*keys, *order, us, value), keys, order, {"__was": (value, -1)}, **cut_options)
+    needed = dict.fromkeys([*keys, *order, us, value])
+    near = shifted(df.select(*needed), keys, order, {"__was": (value, -1)}, **cut_options)
     moves = near.filter(F.col(value) != F.col("__was")).withColumn("__fall", F.col(value) < F.col("__was"))
     falls_before = {"__seg": ("count", F.when(F.col("__fall"), 1))}
-    moves = running(moves, keys, order, falls_before, before=True, **cut_options)
+    moves = settle(running(settle(moves), keys, order, falls_before, before=True, **cut_options))
     seg = [*keys, "__seg"]
     rise = F.when(~F.col("__fall"), F.col(us))
-    if is_small(df) and not cut_options:
+    if is_small(moves) and not cut_options:
         short, long = moves, None
     else:
         sizes = moves.groupBy(*seg).agg(F.count(rise).alias("n")).filter(F.col("n") > longest_fold).drop("n")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.clock import floor_to
+from tidemark.functions.sizing import settle
 from tidemark.operators.ordered import running
 
 
@@ -74,7 +75,7 @@ def allowed_lateness(
     The watermark only grows, so within a window all on-time rows precede all accepted ones and a
     firing's count is a running count of the rows kept.
     """
-    seen = with_watermark_before(df, arrival, delay).select(*keys, *arrival, *window_fate(size, lateness))
+    seen = settle(with_watermark_before(df, arrival, delay).select(*keys, *arrival, *window_fate(size, lateness)))
     group = [*keys, "window_end"]
     on_time = F.col("fate") == "on_time"
     totals = seen.groupBy(*group).agg(
