@@ -94,9 +94,9 @@ def test_group_counts_update_mode(spark, tmp_path):
 HISTORY = "k string, type string, t double"
 
 
-def history(spark, tmp_path, data, per_step=1):
+def history(spark, tmp_path, data, per_step=1, last="end"):
     steps = [[{"k": k, "type": ty, "t": t} for k, ty, t in data[i : i + per_step]] for i in range(0, len(data), per_step)]
-    stream = replay(spark, tmp_path, HISTORY, steps, end={"k": "end", "type": "end", "t": END_S})
+    stream = replay(spark, tmp_path, HISTORY, steps, end={"k": "end", "type": last, "t": END_S})
     return stream.withWatermark("ts", "0 seconds")
 
 
@@ -135,10 +135,12 @@ def test_element_timers(spark, tmp_path):
 
 
 def test_running_stats_emit_per_row(spark, tmp_path):
-    steps = [[{"k": "a", "seq": 1, "v": 3}, {"k": "a", "seq": 2, "v": 1}], [{"k": "b", "seq": 3, "v": 9}, {"k": "a", "seq": 4, "v": 5}]]
-    stream = replay(spark, tmp_path, "k string, seq bigint, v bigint", steps)
-    got = rows(drained(st.running_stats(stream, ["k"], "seq", "v")))
-    assert got == [("a", 1, 1, 3, 3, 3), ("a", 2, 2, 4, 1, 3), ("a", 4, 3, 9, 1, 5), ("b", 3, 1, 9, 9, 9)]
+    data = [("a", "3", 1), ("a", "1", 2), ("b", "9", 3), ("a", "5", 4)]
+    numbers = history(spark, tmp_path, data, per_step=2, last="0")
+    got = drained(st.in_order(numbers, ["k"], st.Stats("type")))
+    assert rows(got.filter("k <> 'end'")) == [
+        ("a", S, 1, 3, 3, 3), ("a", 2 * S, 2, 4, 1, 3), ("a", 4 * S, 3, 9, 1, 5), ("b", 3 * S, 1, 9, 9, 9)
+    ]
 
 
 def test_late_rows_are_tagged_not_lost(spark, tmp_path):
@@ -218,13 +220,13 @@ def test_restart_continues_where_it_stopped(spark, tmp_path):
 
 @pytest.fixture(scope="module")
 def event_steps(spark, folder, tmp_path_factory):
-    """Events of the smallest tables as 8 files in time order, plus the end marker."""
+    """Events of the smallest tables as 4 files in time order, plus the end marker."""
     base = tmp_path_factory.mktemp("events")
     table = events(spark, folder).withColumn("kind", F.col("event_type")).drop("props").orderBy("us").toPandas()
     out = base / "in"
     out.mkdir()
-    for i in range(8):
-        part = table.iloc[i * len(table) // 8 : (i + 1) * len(table) // 8]
+    for i in range(4):
+        part = table.iloc[i * len(table) // 4 : (i + 1) * len(table) // 4]
         part.drop(columns="ts").to_parquet(out / f"{i}.parquet", index=False)
         os.utime(out / f"{i}.parquet", (1_000_000 + i, 1_000_000 + i))
     schema = "event_id bigint, user_id bigint, event_type string, value double, us bigint, kind string"
@@ -243,21 +245,21 @@ def event_steps(spark, folder, tmp_path_factory):
 def test_stateful_equals_batch_on_events(spark, folder, event_steps):
     batch = events(spark, folder).select("user_id", "us", "event_type", "value", "event_id", "ts")
     error = patterns.repeats(batch, ["user_id"], ["us"], F.col("event_type") == "error", 3)
-    got = event_steps(lambda s: st.in_order(s, ["user_id"], st.HitRun(lambda r: r.event_type == "error")))
+    got = event_steps(lambda s: st.in_order(s, ["user_id"], st.HitRun(lambda r: r.event_type == "error"), slot=HOUR))
     assert rows(got) == rows(error, "user_id", "us")
 
     rising = patterns.rising_alerts(batch, ["user_id"], ["us"], "value", 12 * HOUR)
-    got = event_steps(lambda s: st.in_order(s, ["user_id"], st.RisingAlert("value", 12 * HOUR)))
+    got = event_steps(lambda s: st.in_order(s, ["user_id"], st.RisingAlert("value", 12 * HOUR), slot=HOUR))
     assert rows(got) == rows(rising)
 
     early = windows.early_fires(batch, ["user_id"], DAY, 6 * HOUR)
-    got = event_steps(lambda s: st.in_order(s, ["user_id"], st.EarlyFire(DAY, 6 * HOUR)))
+    got = event_steps(lambda s: st.in_order(s, ["user_id"], st.EarlyFire(DAY, 6 * HOUR), slot=HOUR))
     assert rows(got.filter("user_id >= 0")) == rows(early, "user_id", "window_start", "fired_at", "cnt")
 
     opened = batch.filter("event_type = 'signup'").select("user_id", "us")
     want = joins.gate(batch.filter("event_type = 'view'").select("user_id", "us", "event_id"), opened, ["user_id"], "us", 24 * HOUR)
     kinds = F.col("event_type").isin("signup", "view", "end")
-    got = event_steps(lambda s: st.in_order(s.filter(kinds), ["user_id"], st.Gate(lambda r: r.event_type == "signup", 24 * HOUR)))
+    got = event_steps(lambda s: st.in_order(s.filter(kinds), ["user_id"], st.Gate(lambda r: r.event_type == "signup", 24 * HOUR), slot=HOUR))
     assert rows(got.filter("user_id >= 0"), "user_id", "event_id") == rows(want, "user_id", "event_id")
 
 
@@ -267,6 +269,6 @@ def test_builtin_forms_equal_batch_on_events(spark, folder, event_steps):
     assert rows(got) == rows(distinct.uv_exact(batch, DAY, "user_id"))
     got = event_steps(lambda s: windows.sessions_stream(s, ["user_id"], 12 * HOUR))
     assert rows(got) == rows(windows.sessions(batch, ["user_id"], 12 * HOUR))
-    got = event_steps(lambda s: st.in_order(s, ["event_type"], st.EarlyFire(DAY))).select("event_type", "window_start", "cnt")
+    got = event_steps(lambda s: st.in_order(s, ["event_type"], st.EarlyFire(DAY), slot=HOUR)).select("event_type", "window_start", "cnt")
     want = windows.tumbling_by_hand(batch, ["event_type"], DAY)
     assert rows(got) == rows(want, "event_type", "window_start", "cnt")

@@ -5,6 +5,10 @@ automaton in event-time order, together with the deadlines the automaton asked f
 does not depend on how rows were split into micro-batches and equals the batch form. Clock rule:
 before a row at time t, every deadline earlier than t has fired; a deadline at exactly t has not.
 
+Waiting rows are kept per key and time slot, in pages, and a slot is loaded, ordered and worked off
+when the watermark passes its end. What Python holds at once is one page of input or one slot of one
+key, not the history of a key; choose the slot to suit the busiest key.
+
 An automaton is a few lines: its state as a tuple, what a row does, what a deadline does.
 Times are microseconds; Spark's timers and watermarks are milliseconds.
 """
@@ -16,6 +20,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidemark.functions.clock import SECOND
+
 Out = list[tuple]
 
 
@@ -48,55 +54,82 @@ class Automaton:
 
 
 class InOrder(StatefulProcessor):
-    def __init__(self, automaton: Automaton, columns: list[str], schema: str, output: str, us: str, tie: str | None):
+    PAGE_ROWS = 5_000
+
+    def __init__(
+        self, automaton: Automaton, columns: list[str], schema: str, output: str, us: str, slot: int, tie: str | None
+    ):
         self.automaton, self.columns, self.schema, self.output = automaton, columns, schema, output
-        self.us, self.tie = us, tie
+        self.us, self.slot, self.tie = us, slot, tie
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.schema)
+        fields = ", ".join(c.replace(" ", ": ", 1) for c in self.schema.split(", "))
+        self.pages = handle.getMapState("pages", "slot bigint, page bigint", f"waiting array<struct<{fields}>>")
+        self.used = handle.getMapState("used", "slot bigint", "pages bigint")
         self.held = handle.getValueState("held", self.automaton.state)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [tuple(r[c] for c in self.columns) for r in rows]
-        if new:
-            self.waiting.appendList(new)
-            at = self.columns.index(self.us)
-            self._wake(max(r[at] for r in new))
+        page: dict[int, list[tuple]] = {}
+        n = 0
+        for r in rows:
+            slot = r[self.us] // self.slot
+            page.setdefault(slot, []).append(tuple(r[c] for c in self.columns))
+            n += 1
+            if n == self.PAGE_ROWS:
+                self._store(page)
+                page, n = {}, 0
+        self._store(page)
         return iter([])
 
+    def _store(self, page: dict[int, list[tuple]]) -> None:
+        for slot, waiting in page.items():
+            used = self.used.getValue((slot,))[0] if self.used.containsKey((slot,)) else 0
+            self.pages.updateValue((slot, used), (waiting,))
+            self.used.updateValue((slot,), (used + 1,))
+            self._wake(slot)
+
+    def _wake(self, slot: int) -> None:
+        """Timers fire in the order of their time, so the slots of a key are worked off in order."""
+        self.handle.registerTimer((slot + 1) * self.slot // 1000)
+
+    def _take(self, slot: int) -> list[Row]:
+        if not self.used.containsKey((slot,)):
+            return []
+        make, rows = Row(*self.columns), []
+        for n in range(self.used.getValue((slot,))[0]):
+            rows += [make(*r) for r in self.pages.getValue((slot, n))[0]]
+            self.pages.removeKey((slot, n))
+        self.used.removeKey((slot,))
+        return sorted(rows, key=lambda r: (r[self.us], r[self.tie] if self.tie else 0))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = [Row(*self.columns)(*r) for r in self.waiting.get()]
-        due = sorted((r for r in rows if r[self.us] <= now), key=self._rank)
-        later = [tuple(r) for r in rows if r[self.us] > now]
+        end = expiredTimerInfo.getExpiryTimeInMs() * 1000
         s = tuple(self.held.get()) if self.held.exists() else self.automaton.begin()
         out: Out = []
-        for r in due:
+        for r in self._take(end // self.slot - 1):
             s = self._fire(s, r[self.us] - 1, out)
             s, more = self.automaton.row(s, r)
             out += more
-        s = self._fire(s, now, out)
-        self.waiting.clear()
-        if later:
-            self.waiting.appendList(later)
-            self._wake(max(r[self.columns.index(self.us)] for r in later))
+        s = self._fire(s, end - 1, out)
+        if not self.used.exists():
+            # Nothing waits, so no row can come before a deadline whose slot is over. (A timer set
+            # here would only fire in a later micro-batch, and there may be none.)
+            now = timerValues.getCurrentWatermarkInMs() * 1000
+            s = self._fire(s, now - now % self.slot - 1, out)
         if s == self.automaton.begin():
             self.held.clear()
         else:
             self.held.update(s)
         ahead = self.automaton.deadline(s)
         if ahead is not None:
-            self._wake(ahead)
+            self._wake(ahead // self.slot)
         make = _row(self.output)
-        return iter([make(*key, *o) for o in out])
+        return (make(*key, *o) for o in out)
 
     def close(self) -> None:
         pass
 
-    def _rank(self, r: Row) -> tuple:
-        return (r[self.us], r[self.tie]) if self.tie else (r[self.us],)
-
     def _fire(self, s: tuple, upto: int, out: Out) -> tuple:
         t = self.automaton.deadline(s)
         while t is not None and t <= upto:
@@ -105,17 +138,21 @@ class InOrder(StatefulProcessor):
             t = self.automaton.deadline(s)
         return s
 
-    def _wake(self, us: int) -> None:
-        self.handle.registerTimer(-(-us // 1000))
-
 
 def in_order(
-    df: DataFrame, keys: list[str], automaton: Automaton, ts: str = "ts", us: str = "us", tie: str | None = None
+    df: DataFrame,
+    keys: list[str],
+    automaton: Automaton,
+    slot: int = SECOND,
+    ts: str = "ts",
+    us: str = "us",
+    tie: str | None = None,
 ) -> DataFrame:
-    """Run an automaton per key over a stream with a watermark on ``ts``; ``tie`` orders equal times."""
+    """Run an automaton per key over a stream with a watermark on ``ts``. Results come when the
+    watermark passes the end of their ``slot`` (whole milliseconds); ``tie`` orders equal times."""
     columns = [c for c in df.columns if c not in (*keys, ts)]
     output = f"{_columns(df, keys)}, {automaton.output}"
-    processor = InOrder(automaton, columns, _columns(df, columns), output, us, tie)
+    processor = InOrder(automaton, columns, _columns(df, columns), output, us, slot, tie)
     return df.groupBy(*keys).transformWithState(processor, output, "Append", "EventTime")
 
 
@@ -328,36 +365,23 @@ class ElementTimers(Automaton):
         return ([x for x in s[0] if x != t],), [(t,)]
 
 
-class RunningStats(StatefulProcessor):
-    """Count, sum, minimum and maximum after every row, in order of arrival (``seq`` inside a batch)."""
-
-    OUTPUT = "seq bigint, cnt bigint, total bigint, low bigint, high bigint"
+class Stats(Automaton):
+    """Count, sum, minimum and maximum after every row."""
 
-    def __init__(self, output: str):
-        self.output = output
+    state = "cnt bigint, total bigint, low bigint, high bigint"
+    output = "us bigint, cnt bigint, total bigint, low bigint, high bigint"
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.stats = handle.getValueState("stats", "cnt bigint, total bigint, low bigint, high bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        n, total, low, high = self.stats.get() if self.stats.exists() else (0, 0, None, None)
-        out, make = [], _row(self.output)
-        for r in sorted(rows, key=lambda r: r["seq"]):
-            v = r["v"]
-            n, total = n + 1, total + v
-            low, high = (v, v) if low is None else (min(low, v), max(high, v))
-            out.append(make(*key, r["seq"], n, total, low, high))
-        self.stats.update((n, total, low, high))
-        return iter(out)
-
-    def close(self) -> None:
-        pass
+    def __init__(self, value: str):
+        self.value = value
 
+    def begin(self):
+        return (0, 0, None, None)
 
-def running_stats(df: DataFrame, keys: list[str], seq: str, value: str) -> DataFrame:
-    output = f"{_columns(df, keys)}, {RunningStats.OUTPUT}"
-    rows = df.select(*keys, F.col(seq).cast("bigint").alias("seq"), F.col(value).cast("bigint").alias("v"))
-    return rows.groupBy(*keys).transformWithState(RunningStats(output), output, "Append", "None")
+    def row(self, s, r):
+        n, total, low, high = s
+        v = int(r[self.value])
+        s = (n + 1, total + v, v if low is None else min(low, v), v if high is None else max(high, v))
+        return s, [(r.us, *s)]
 
 
 class ProcessingTimers(StatefulProcessor):
