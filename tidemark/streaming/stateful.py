@@ -65,8 +65,9 @@ class InOrder(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         fields = ", ".join(c.replace(" ", ": ", 1) for c in self.schema.split(", "))
-        self.pages = handle.getMapState("pages", "slot bigint, page bigint", f"waiting array<struct<{fields}>>")
-        self.used = handle.getMapState("used", "slot bigint", "pages bigint")
+        # page 0 of a slot also tells how many pages follow
+        page = f"waiting array<struct<{fields}>>, more bigint"
+        self.pages = handle.getMapState("pages", "slot bigint, page bigint", page)
         self.held = handle.getValueState("held", self.automaton.state)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
@@ -84,44 +85,52 @@ class InOrder(StatefulProcessor):
 
     def _store(self, page: dict[int, list[tuple]]) -> None:
         for slot, waiting in page.items():
-            used = self.used.getValue((slot,))[0] if self.used.containsKey((slot,)) else 0
-            self.pages.updateValue((slot, used), (waiting,))
-            self.used.updateValue((slot,), (used + 1,))
-            self._wake(slot)
+            if self.pages.containsKey((slot, 0)):
+                first, more = self.pages.getValue((slot, 0))
+                self.pages.updateValue((slot, 0), (first, more + 1))
+                self.pages.updateValue((slot, more + 1), (waiting, 0))
+            else:
+                self.pages.updateValue((slot, 0), (waiting, 0))
+                self._wake(slot)
 
     def _wake(self, slot: int) -> None:
         """Timers fire in the order of their time, so the slots of a key are worked off in order."""
         self.handle.registerTimer((slot + 1) * self.slot // 1000)
 
     def _take(self, slot: int) -> list[Row]:
-        if not self.used.containsKey((slot,)):
-            return []
-        make, rows = Row(*self.columns), []
-        for n in range(self.used.getValue((slot,))[0]):
-            rows += [make(*r) for r in self.pages.getValue((slot, n))[0]]
+        make, rows, n, more = Row(*self.columns), [], 0, 0
+        while n <= more:
+            page = self.pages.getValue((slot, n))
+            if page is None:
+                break
+            rows += [make(*r) for r in page[0]]
+            more = more if n else page[1]
             self.pages.removeKey((slot, n))
-        self.used.removeKey((slot,))
+            n += 1
         return sorted(rows, key=lambda r: (r[self.us], r[self.tie] if self.tie else 0))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         end = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        s = tuple(self.held.get()) if self.held.exists() else self.automaton.begin()
+        was = self.held.get()
+        s = self.automaton.begin() if was is None else tuple(was)
         out: Out = []
         for r in self._take(end // self.slot - 1):
             s = self._fire(s, r[self.us] - 1, out)
             s, more = self.automaton.row(s, r)
             out += more
         s = self._fire(s, end - 1, out)
-        if not self.used.exists():
-            # Nothing waits, so no row can come before a deadline whose slot is over. (A timer set
-            # here would only fire in a later micro-batch, and there may be none.)
-            now = timerValues.getCurrentWatermarkInMs() * 1000
-            s = self._fire(s, now - now % self.slot - 1, out)
-        if s == self.automaton.begin():
-            self.held.clear()
-        else:
-            self.held.update(s)
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        over = now - now % self.slot - 1  # last instant of the newest slot that is over
         ahead = self.automaton.deadline(s)
+        if ahead is not None and ahead <= over and not self.pages.exists():
+            # Nothing waits, so no row can come before the deadline. (A timer set here would only
+            # fire in a later micro-batch, and there may be none.)
+            s = self._fire(s, over, out)
+            ahead = self.automaton.deadline(s)
+        if s != self.automaton.begin():
+            self.held.update(s)
+        elif was is not None:
+            self.held.clear()
         if ahead is not None:
             self._wake(ahead // self.slot)
         make = _row(self.output)
