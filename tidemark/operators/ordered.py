@@ -139,7 +139,8 @@ def _attach(c: Cut, carry: DataFrame) -> DataFrame:
     """Give every row the carry of its chunk (rows of keys that were not cut get nulls)."""
     on = [*c.keys, CHUNK]
     renamed = carry.select(*[F.col(k).alias(f"__c_{k}") for k in on], *[x for x in carry.columns if x not in on])
-    same = [c.rows[k].eqNullSafe(renamed[f"__c_{k}"]) for k in on]
+    same = [c.rows[k].eqNullSafe(renamed[f"__c_{k}"]) for k in c.keys]
+    same.append(c.rows[CHUNK] == renamed[f"__c_{CHUNK}"])
     return c.rows.join(F.broadcast(renamed), same, "left").drop(*[f"__c_{k}" for k in on])
 
 
@@ -200,10 +201,11 @@ def running(
         *keys, CHUNK, *[p[2](F.col(name)).over(earlier).alias(f"__carry_{name}") for name, p in parts.items()]
     )
     rows = _attach(c, carry)
-    out = rows.withColumns(
-        {name: _combine(aggs[name][0], p[0].over(w), F.col(f"__carry_{name}")) for name, p in parts.items()}
+    local = rows.withColumns({f"__local_{name}": p[0].over(w) for name, p in parts.items()})
+    out = local.withColumns(
+        {n: _combine(kind, F.col(f"__local_{n}"), F.col(f"__carry_{n}")) for n, (kind, _) in aggs.items()}
     )
-    return _done(out, *[f"__carry_{name}" for name in parts])
+    return _done(out, *[f"__{part}_{name}" for part in ("carry", "local") for name in parts])
 
 
 def shifted(

@@ -62,7 +62,8 @@ def sessions(df: DataFrame, keys: list[str], gap: int, us: str = "us") -> DataFr
     w = Window.partitionBy(*keys).orderBy("slot")
     opens = F.col("lo") - F.lag("hi").over(w)
     marked = slots.withColumn("opens", F.when(opens <= F.lit(gap), 0).otherwise(1))
-    numbered = marked.withColumn("session", F.sum("opens").over(w))
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = marked.withColumn("session", F.sum("opens").over(so_far))
     return (
         numbered.groupBy(*keys, "session")
         .agg(F.min("lo").alias("window_start"), F.max("hi").alias("hi"), F.sum("n").alias("cnt"))
@@ -88,12 +89,13 @@ def early_fires(df: DataFrame, keys: list[str], size: int, tick: int, us: str =
         F.count("*").alias("n"), F.min(us).alias("lo")
     )
     w = Window.partitionBy(*keys, "window_start").orderBy("slot")
+    up_to = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     so_far = slots.select(
         *keys,
         "window_start",
-        F.sum("n").over(w).alias("cnt"),
+        F.sum("n").over(up_to).alias("cnt"),
         # a slot's count holds from its own tick (the first row's next tick at the earliest) ...
-        F.greatest(F.col("slot"), next_tick(F.min("lo").over(w), tick)).alias("from_tick"),
+        F.greatest(F.col("slot"), next_tick(F.min("lo").over(up_to), tick)).alias("from_tick"),
         # ... until the tick before the next slot with rows, inside the window
         F.least(F.lead("slot").over(w) - F.lit(tick), end - F.lit(1)).alias("to_tick"),
         F.lead("slot").over(w).isNull().alias("is_last"),

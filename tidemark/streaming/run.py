@@ -9,6 +9,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.session import ROCKSDB_PROVIDER, new_scratch
 
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    # commit the changes of a micro-batch, not the whole store
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 FAR_FUTURE = "2200-01-01 00:00:00"
 
 
@@ -25,7 +30,8 @@ def start(
     ``every`` is the trigger interval ("10 seconds"); without it the query takes what is there and
     stops. State is kept in RocksDB and everything restarts from ``checkpoint``.
     """
-    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    for key, value in STATE_CONF.items():
+        df.sparkSession.conf.set(key, value)
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     if write:
