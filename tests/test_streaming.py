@@ -166,8 +166,35 @@ def test_late_router_is_exact_per_record(spark, tmp_path):
     stream = replay(spark, tmp_path, "k string, seq bigint, t double", steps)
     out = str(tmp_path / "routed")
     start(stream, str(tmp_path / "ck"), write=forms.late_router(out, ["seq"], 5 * S)).awaitTermination()
-    assert rows(spark.read.parquet(f"{out}/main"), "seq") == [(0,), (2,)]
-    assert rows(spark.read.parquet(f"{out}/late"), "seq") == [(1,), (3,)]
+    got = spark.read.parquet(f"{out}/out")
+    assert sorted(rows(got, "seq", "output")) == [(0, "main"), (1, "late"), (2, "main"), (3, "late")]
+
+
+def test_union_takes_the_smaller_watermark(spark, tmp_path):
+    a = replay(spark, tmp_path, "k string, t double", keyed([("a", 1), ("a", 100), ("a", 100)]), "a")
+    b = replay(spark, tmp_path, "k string, t double", keyed([("b", 2), ("b", 3), ("b", 4)]), "b")
+    both = a.withWatermark("ts", "0 seconds").unionByName(b.withWatermark("ts", "0 seconds"))
+    counts = windows.tumbling(both, ["k"], 5 * S, [F.count("*").alias("cnt")])
+    assert drained(counts).count() == 0  # the second input is still at 4 seconds
+
+
+def test_full_outer_stream(spark, tmp_path):
+    a = replay(spark, tmp_path, "id string, t double", [[{"id": "o1", "t": 1}], [{"id": "o2", "t": 2}], [{"id": "end", "t": END_S}]], "a")
+    b = replay(spark, tmp_path, "id string, t double", [[{"id": "o1", "t": 4}], [{"id": "o2", "t": 9}], [{"id": "end2", "t": END_S}]], "b")
+    left = a.selectExpr("id", "ts AS l").withWatermark("l", "0 seconds")
+    right = b.selectExpr("id", "ts AS r").withWatermark("r", "0 seconds")
+    got = drained(forms.reconcile(left, right, ["id"], "l", "r", 5 * S))
+    assert rows(got, "id", "left_us", "right_us", "outcome") == [
+        ("o1", 1 * S, 4 * S, "left_first"), ("o2", 2 * S, None, "left_only"), ("o2", None, 9 * S, "right_only")
+    ]
+
+
+def test_changelog_stream(spark, tmp_path):
+    data = [(u, str(i), i + 1) for i, u in enumerate(["Mary", "Bob", "Mary", "Liz"])]
+    got = drained(st.in_order(history(spark, tmp_path, data).withColumn("seq", F.expr("try_cast(type AS bigint)")), ["k"], st.CountChanges("seq")))
+    assert rows(got.filter("k <> 'end'"), "seq", "row_kind", "k", "cnt") == [
+        (0, "+I", "Mary", 1), (1, "+I", "Bob", 1), (2, "+U", "Mary", 2), (2, "-U", "Mary", 1), (3, "+I", "Liz", 1)
+    ]
 
 
 def test_control_filter_carries_the_last_control(spark, tmp_path):
@@ -267,6 +294,8 @@ def test_builtin_forms_equal_batch_on_events(spark, folder, event_steps):
     batch = events(spark, folder)
     got = event_steps(lambda s: distinct.uv_exact(s, DAY, "user_id"))
     assert rows(got) == rows(distinct.uv_exact(batch, DAY, "user_id"))
+    got = event_steps(lambda s: distinct.uv_sketch(s, DAY, "user_id"))
+    assert rows(got) == rows(distinct.uv_sketch(batch, DAY, "user_id"))
     got = event_steps(lambda s: windows.sessions_stream(s, ["user_id"], 12 * HOUR))
     assert rows(got) == rows(windows.sessions(batch, ["user_id"], 12 * HOUR))
     got = event_steps(lambda s: st.in_order(s, ["event_type"], st.EarlyFire(DAY), slot=HOUR)).select("event_type", "window_start", "cnt")

@@ -66,15 +66,14 @@ def custom_aggregate(
 
     Each task folds its batches into one accumulator per key before the shuffle, so a hot key ships
     one small row per task. Partial accumulators are merged in two rounds, first spread over 64
-    salts, so no task meets all partials of a hot key. Built-in aggregates are faster; this is for
-    code Spark has no aggregate for. The result column is ``acc``.
+    salts (by task, so a task that runs again sends them to the same place): no task meets all
+    partials of a hot key. Built-in aggregates are faster; this is for code Spark has no aggregate
+    for. The result column is ``acc``.
     """
     key_schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
 
     def rows(held: dict) -> pd.DataFrame:
         out = pd.DataFrame([list(k) for k in held], columns=keys)
-        out["salt"] = range(len(held))
-        out["salt"] %= 64
         out["acc"] = list(held.values())
         return out
 
@@ -95,8 +94,8 @@ def custom_aggregate(
             total = merge(total, acc)
         return batch.head(1).assign(acc=[total])
 
-    partial = df.select(*keys, value).mapInPandas(fold, f"{key_schema}, salt bigint, acc {acc_type}")
-    salted = partial.withColumn("salt", F.pmod(F.spark_partition_id() + F.col("salt"), F.lit(64)).cast("bigint"))
+    partial = df.select(*keys, value).mapInPandas(fold, f"{key_schema}, acc {acc_type}")
+    salted = partial.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(64)))
     first = salted.groupBy(*keys, "salt").applyInPandas(merged, salted.schema)
     second = first.drop("salt")
     return second.groupBy(*keys).applyInPandas(merged, second.schema)

@@ -15,6 +15,7 @@ from tidemark.operators import distinct, windows
 from tidemark.plans.late import ARRIVED, DELAY
 from tidemark.plans.registry import ORACLES, query
 from tidemark.plans.rolling import ROWS
+from tidemark.plans.windows import HOP_COUNT
 from tidemark.sinks.writers import upsert_files, upserted
 from tidemark.session import new_scratch
 from tidemark.sources.files import events_stream, item
@@ -181,8 +182,25 @@ def stream_late_side_output(spark, folder):
     path = new_scratch(spark, "routed")
     write = forms.late_router(path, ["arr", "event_id"], DELAY)
     start(arrivals, f"{path}/checkpoint", write=write).awaitTermination()
-    sides = [spark.read.parquet(f"{path}/{n}").select(F.lit(n).alias("output"), "event_id") for n in ("main", "late")]
-    return sides[0].unionByName(sides[1])
+    return spark.read.parquet(f"{path}/out").select("output", "event_id")
+
+
+@query("stream_sql_hop_count", ORACLES["sql_hop_count"])
+def stream_sql_hop_count(spark, folder):
+    """The SQL statement of the batch form on a streaming view."""
+
+    def operator(s: DataFrame) -> DataFrame:
+        views = s.filter(F.col("event_type") == "view").select("ts", item().alias("item"))
+        views.createOrReplaceTempView("tidemark_views")
+        return spark.sql(HOP_COUNT)
+
+    return _drain(spark, folder, operator)
+
+
+@query("stream_changelog_counts", ORACLES["changelog_counts"])
+def stream_changelog_counts(spark, folder):
+    """Row kinds of a count per user, record by record."""
+    return _in_order(spark, folder, st.CountChanges("event_id"), ("event_id",))
 
 
 @query("stream_asof_query_filter", ORACLES["asof_query_filter"])

@@ -62,20 +62,17 @@ def database_upsert(connect: Callable, table: str, keys: list[str], values: list
     return write
 
 
-def batch_files(path: str, transform: Callable[[DataFrame], DataFrame] = lambda d: d):
+def batch_files(path: str, transform: Callable[[DataFrame], DataFrame] = lambda d: d, by: Iterable[str] = ()):
     """A foreachBatch function writing one folder per micro-batch. A batch that runs again after a
     failure replaces its own folder, so nothing is doubled."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        writer = transform(batch).write.mode("overwrite")
+        writer.partitionBy(*by).parquet(f"{path}/batch={batch_id}")
 
     return write
 
 
-def read_batch_files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def upsert_files(path: str, keys: list[str], values: list[str], seq: str):
     """A foreachBatch function keeping every batch's newest row per key; read with ``upserted``."""
 
@@ -87,4 +84,4 @@ def upsert_files(path: str, keys: list[str], values: list[str], seq: str):
 
 
 def upserted(spark: SparkSession, path: str, keys: list[str], values: list[str], seq: str) -> DataFrame:
-    return last_per_key(read_batch_files(spark, path), keys, values, F.col(seq))
+    return last_per_key(spark.read.parquet(path), keys, values, F.col(seq))

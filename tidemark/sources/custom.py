@@ -1,8 +1,9 @@
 """Sources written in Python with Spark's Data Source API.
 
-``RecordedEvents`` replays recorded rows: a batch read has one task per Parquet row group, a
-streaming read hands out a fixed number of row groups per micro-batch and can be replayed from any
-offset, so a restarted query sees the same batches.
+``RecordedEvents`` replays recorded rows: a batch read has one task per Parquet row group (per file
+when there are many files, whose footers the driver should not read), a streaming read hands out a
+fixed number of such pieces per micro-batch and can be replayed from any offset, so a restarted
+query sees the same batches.
 """
 
 from __future__ import annotations
@@ -14,58 +15,72 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 
+MANY_FILES = 200
+
+
 @dataclass
-class RowGroup(InputPartition):
-    path: str
-    number: int
+class Piece(InputPartition):
+    uri: str
+    group: int | None  # None: the whole file
+
+
+def _filesystem(uri: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
 
 
-def _row_groups(path: str) -> list[RowGroup]:
+def _pieces(uri: str) -> list[Piece]:
     import pyarrow.dataset as ds
 
-    fragments = ds.dataset(path, format="parquet").get_fragments()
-    return [RowGroup(f.path, g.id) for f in fragments for g in f.row_groups]
+    filesystem, path = _filesystem(uri)
+    fragments = list(ds.dataset(path, format="parquet", filesystem=filesystem).get_fragments())
+    scheme = uri[: uri.index("://") + 3] if "://" in uri else ""
+    if len(fragments) > MANY_FILES:
+        return [Piece(scheme + f.path, None) for f in fragments]
+    return [Piece(scheme + f.path, g.id) for f in fragments for g in f.row_groups]
 
 
-def _read(part: RowGroup, columns: list[str]) -> Iterator:
+def _read(piece: Piece, columns: list[str]) -> Iterator:
     import pyarrow as pa
     import pyarrow.parquet as pq
 
-    for batch in pq.ParquetFile(part.path).iter_batches(row_groups=[part.number], columns=columns):
-        arrays = []
-        for column in batch.columns:
-            arrays.append(column.cast(pa.timestamp("us")) if pa.types.is_timestamp(column.type) else column)
-        yield pa.RecordBatch.from_arrays(arrays, names=columns)
+    filesystem, path = _filesystem(piece.uri)
+    with filesystem.open_input_file(path) as source:
+        groups = None if piece.group is None else [piece.group]
+        for batch in pq.ParquetFile(source).iter_batches(row_groups=groups, columns=columns):
+            arrays = [c.cast(pa.timestamp("us")) if pa.types.is_timestamp(c.type) else c for c in batch.columns]
+            yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
 
 class _BatchReader(DataSourceReader):
     def __init__(self, path: str, columns: list[str]):
         self.path, self.columns = path, columns
 
-    def partitions(self) -> list[RowGroup]:
-        return _row_groups(self.path)
+    def partitions(self) -> list[Piece]:
+        return _pieces(self.path)
 
-    def read(self, partition: RowGroup) -> Iterator:
+    def read(self, partition: Piece) -> Iterator:
         return _read(partition, self.columns)
 
 
 class _StreamReader(DataSourceStreamReader):
     def __init__(self, path: str, columns: list[str], per_batch: int):
-        self.groups, self.columns, self.per_batch = _row_groups(path), columns, per_batch
+        self.pieces, self.columns, self.per_batch = _pieces(path), columns, per_batch
         self.sent = 0
 
     def initialOffset(self) -> dict:
-        return {"group": 0}
+        return {"piece": 0}
 
     def latestOffset(self) -> dict:
-        self.sent = min(self.sent + self.per_batch, len(self.groups))
-        return {"group": self.sent}
+        self.sent = min(self.sent + self.per_batch, len(self.pieces))
+        return {"piece": self.sent}
 
-    def partitions(self, start: dict, end: dict) -> list[RowGroup]:
-        self.sent = max(self.sent, end["group"])
-        return self.groups[start["group"] : end["group"]]
+    def partitions(self, start: dict, end: dict) -> list[Piece]:
+        self.sent = max(self.sent, end["piece"])
+        return self.pieces[start["piece"] : end["piece"]]
 
-    def read(self, partition: RowGroup) -> Iterator:
+    def read(self, partition: Piece) -> Iterator:
         return _read(partition, self.columns)
 
     def commit(self, end: dict) -> None:
@@ -89,7 +104,7 @@ class RecordedEvents(DataSource):
         return _BatchReader(self.options["path"], self._columns(schema))
 
     def streamReader(self, schema) -> _StreamReader:
-        return _StreamReader(self.options["path"], self._columns(schema), int(self.options.get("groupsPerBatch", "1")))
+        return _StreamReader(self.options["path"], self._columns(schema), int(self.options.get("piecesPerBatch", "1")))
 
 
 def register(spark: SparkSession) -> None:

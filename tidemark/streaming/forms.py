@@ -90,7 +90,8 @@ def late_router(path: str, arrival: list[str], delay: int, us: str = "us") -> Ca
     """foreachBatch function splitting late rows from the others, record by record.
 
     The watermark of each row is a running maximum inside the micro-batch on top of the maximum of
-    all earlier batches, which is carried over. Output folders: ``main`` and ``late``.
+    all earlier batches, which is carried over. Both outputs leave in one write, told apart by the
+    column ``output`` (a folder each): main and late.
     """
     carried = Carried(f"{path}/seen", "top bigint")
 
@@ -100,9 +101,8 @@ def late_router(path: str, arrival: list[str], delay: int, us: str = "us") -> Ca
         top = F.lit(was["top"] if was else None).cast("bigint")
         seen = watermarks.with_watermark_before(batch, arrival, delay, us)
         seen = seen.withColumn("wm_before", F.greatest("wm_before", top - F.lit(delay + 1)))
-        tagged = seen.withColumn("is_late", watermarks.late(us))
-        for name, keep in (("main", ~F.col("is_late")), ("late", F.col("is_late"))):
-            batch_files(f"{path}/{name}")(tagged.filter(keep).drop("is_late", "wm_before"), batch_id)
+        tagged = seen.withColumn("output", F.when(watermarks.late(us), "late").otherwise("main"))
+        batch_files(f"{path}/out", by=["output"])(tagged.drop("wm_before"), batch_id)
         newest = batch.agg(F.greatest(F.max(us), top).alias("top")).first()["top"]
         carried.save(spark, batch_id, (newest,))
 

@@ -393,6 +393,22 @@ class Stats(Automaton):
         return s, [(r.us, *s)]
 
 
+class CountChanges(Automaton):
+    """Row kinds of a running count: +I for the first row of a key, then -U old and +U new."""
+
+    state = "cnt bigint"
+
+    def __init__(self, seq: str):
+        self.seq, self.output = seq, f"{seq} bigint, row_kind string, cnt bigint"
+
+    def begin(self):
+        return (0,)
+
+    def row(self, s, r):
+        n, seq = s[0], r[self.seq]
+        return (n + 1,), [(seq, "-U", n), (seq, "+U", n + 1)] if n else [(seq, "+I", 1)]
+
+
 class ProcessingTimers(StatefulProcessor):
     """A processing-time timer ``after_ms`` behind every row; rows at one instant share a timer."""
 
