@@ -53,24 +53,14 @@ def _order_value(order: list[str]) -> Column:
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
-def _position(cuts: Column, value: Column, longest: int) -> Column:
-    """How many cut points are at or below ``value``: binary search by halving steps."""
-    steps = [1 << b for b in range(max(longest, 1).bit_length() - 1, -1, -1)]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda acc, step: F.when(F.get(cuts, acc + step - 1) <= value, acc + step).otherwise(acc),
-    )
-
-
-def _sql_literal(value, dtype: T.DataType) -> str:
-    if isinstance(value, tuple):
-        fields = ", ".join(
-            f"'{f.name}', {_sql_literal(v, f.dataType)}" for f, v in zip(dtype.fields, value)
-        )
-        return f"named_struct({fields})"
-    quoted = str(value).replace("\\", "\\\\").replace("'", "\\'")
-    return f"cast('{quoted}' as {dtype.simpleString()})"
+def _with_chunk(df: DataFrame, cuts: Column, value: Column, longest: int) -> DataFrame:
+    """Add the number of cut points at or below ``value``: a binary search by halving steps, one
+    projection per step, so that it stays in generated code and no step is evaluated twice."""
+    df = df.withColumn(CHUNK, F.lit(0))
+    for step in (1 << b for b in range(max(longest, 1).bit_length() - 1, -1, -1)):
+        passed = F.get(cuts, F.col(CHUNK) + F.lit(step - 1)) <= value
+        df = df.withColumn(CHUNK, F.col(CHUNK) + F.when(passed, step).otherwise(0))
+    return df
 
 
 def _cut_points(sample: list[tuple]) -> dict[int, list]:
@@ -120,19 +110,13 @@ def cut(
     longest = max(len(c) for c in cuts.values())
     value = _order_value(order)
     order_type = df.select(value.alias("v")).schema["v"].dataType
-    if not keys:
-        points = F.expr("array(%s)" % ", ".join(_sql_literal(c, order_type) for c in cuts[0]))
-        return Cut(df.withColumn(CHUNK, _position(points, value, longest)), keys, order, split=True)
     schema = T.StructType().add(KEY_HASH, T.LongType()).add(CUTS, T.ArrayType(order_type))
     table = spark.createDataFrame(list(cuts.items()), schema)
-    rows = (
-        df.withColumn(KEY_HASH, key_hash)
-        .join(F.broadcast(table), KEY_HASH, "left")
-        .withColumn(HOT, F.col(CUTS).isNotNull())
-        .withColumn(CHUNK, F.when(F.col(HOT), _position(F.col(CUTS), value, longest)).otherwise(0))
-        .drop(CUTS, KEY_HASH)
-    )
-    return Cut(rows, keys, order, split=True)
+    if not keys:
+        return Cut(_with_chunk(df, table.select(CUTS).scalar(), value, longest), keys, order, split=True)
+    hot = df.withColumn(KEY_HASH, key_hash).join(F.broadcast(table), KEY_HASH, "left")
+    rows = _with_chunk(hot.withColumn(HOT, F.col(CUTS).isNotNull()), F.col(CUTS), value, longest)
+    return Cut(rows.drop(CUTS, KEY_HASH), keys, order, split=True)
 
 
 def _attach(c: Cut, carry: DataFrame) -> DataFrame:
