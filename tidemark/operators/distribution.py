@@ -36,3 +36,10 @@ def by_key(df: DataFrame, p: int, *keys: str, split_hot: bool = False) -> DataFr
 def to_subtask(df: DataFrame, p: int, subtask: Column) -> DataFrame:
     """Row to the partition whose number ``subtask`` gives."""
     return df.withColumn("subtask", subtask).repartitionById(p, F.col("subtask").cast("int"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """An input that arrives in fewer partitions than there are cores (one large file with one row
+    group) dealt out to all of them, ahead of work that multiplies rows. Otherwise unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

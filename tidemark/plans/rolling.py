@@ -9,8 +9,8 @@ from tidemark.operators import rows
 from tidemark.operators.changelog import count_changes, replay
 from tidemark.operators.ordered import running
 from tidemark.plans.registry import query
-from tidemark.plans.rows import TOKENS_SQL
-from tidemark.sources.files import events, item, table
+from tidemark.plans.rows import TOKENS_SQL, texts
+from tidemark.sources.files import events, item
 
 ROWS = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
@@ -24,7 +24,7 @@ def _items(spark, folder):
     "WITH " + TOKENS_SQL + " SELECT doc_id, pos, word, count(*) OVER (PARTITION BY word ORDER BY doc_id, pos " + ROWS + ") AS cnt FROM tok",
 )
 def running_word_count(spark, folder):
-    words = rows.tokenize(table(spark, folder, "documents").select("doc_id", "text"))
+    words = rows.tokenize(texts(spark, folder))
     return running(words, ["word"], ["doc_id", "pos"], {"cnt": ("count", F.lit(1))})
 
 
@@ -35,7 +35,7 @@ def running_word_count(spark, folder):
     count(*) OVER (PARTITION BY line ORDER BY doc_id, pos """ + ROWS + ") AS cnt FROM l",
 )
 def running_line_count(spark, folder):
-    lines = rows.lines(table(spark, folder, "documents").select("doc_id", "text"))
+    lines = rows.lines(texts(spark, folder))
     return running(lines, ["line"], ["doc_id", "pos"], {"cnt": ("count", F.lit(1))})
 
 

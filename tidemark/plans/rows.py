@@ -161,6 +161,10 @@ def flatmap_replicate(spark, folder):
     return rows.replicate(events(spark, folder).select("event_id", "event_type"), times)
 
 
+def texts(spark, folder) -> DataFrame:
+    return distribution.spread(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 TOKENS_SQL = """w AS (SELECT doc_id, CASE WHEN text <> '' AND rtrim(text, ' ') = '' THEN [] ELSE
   string_split(rtrim(text, ' '), ' ') END AS ws FROM documents),
   tok AS (SELECT doc_id, CAST(unnest(range(len(ws))) AS INTEGER) AS pos, unnest(ws) AS word FROM w)"""
@@ -168,12 +172,12 @@ TOKENS_SQL = """w AS (SELECT doc_id, CASE WHEN text <> '' AND rtrim(text, ' ') =
 
 @query("tokenize", "WITH " + TOKENS_SQL + " SELECT doc_id, pos, word FROM tok")
 def tokenize(spark, folder):
-    return rows.tokenize(table(spark, folder, "documents").select("doc_id", "text"))
+    return rows.tokenize(texts(spark, folder))
 
 
 @query("word_count", "WITH " + TOKENS_SQL + " SELECT word, count(*) AS cnt FROM tok GROUP BY word")
 def word_count(spark, folder):
-    words = rows.tokenize(table(spark, folder, "documents").select("text"))
+    words = rows.tokenize(texts(spark, folder))
     return words.groupBy("word").agg(F.count("*").alias("cnt"))
 
 
