@@ -9,12 +9,13 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import DAY
+from tidemark.functions.sizing import estimated_bytes, is_small
 from tidemark.operators import distinct
 from tidemark.operators.rows import custom_aggregate, with_lifecycle
 from tidemark.plans.catalog import ORACLES, QUERIES
 from tidemark.sinks import writers
 from tidemark.sources import custom, network
-from tidemark.sources.files import events, text_lines, text_lines_stream
+from tidemark.sources.files import events, table, text_lines, text_lines_stream
 from tidemark.streaming.run import Carried, drained, start
 
 
@@ -150,6 +151,13 @@ def test_carried_value_is_the_one_before(spark, tmp_path):
     assert carried.before(spark, 1)["top"] == 5 and carried.before(spark, 2)["top"] == 7
 
 
+def test_size_estimate_is_that_of_the_file(spark, folder):
+    import os
+
+    assert estimated_bytes(table(spark, folder, "events")) == os.path.getsize(f"{folder}/events.parquet")
+    assert is_small(events(spark, folder))
+
+
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLES)
 

@@ -11,12 +11,9 @@ SMALL_INPUT_BYTES = 64 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate for ``df``, or None when it has none."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
-    except Exception:
-        return None
+    """The optimizer's size estimate for ``df``, or None where the session cannot be asked."""
+    plan = getattr(df, "_jdf", None)
+    return None if plan is None else int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def is_small(df: DataFrame) -> bool:

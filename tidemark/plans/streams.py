@@ -11,22 +11,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.clock import DAY, HOUR, MINUTE
+from tidemark.functions.sizing import is_small
 from tidemark.operators import distinct, windows
+from tidemark.plans import matching, rows  # noqa: F401  (their SQL is reused)
 from tidemark.plans.late import ARRIVED, DELAY
 from tidemark.plans.registry import ORACLES, query
 from tidemark.plans.rolling import ROWS
 from tidemark.plans.windows import HOP_COUNT
 from tidemark.sinks.writers import upsert_files, upserted
 from tidemark.session import new_scratch
-from tidemark.sources.files import events_stream, item
+from tidemark.sources.files import events, events_stream, item
 from tidemark.streaming import forms, stateful as st
 from tidemark.streaming.run import EndMarker, drain, drained, start
 
 
+def _partitions(spark, folder) -> int | None:
+    """State partitions: one per core for a small table, otherwise what the session says."""
+    return spark.sparkContext.defaultParallelism if is_small(events(spark, folder)) else None
+
+
 def _drain(spark, folder, operator: Callable[[DataFrame], DataFrame], marker_type="view", **options) -> DataFrame:
     end = EndMarker(events_stream(spark, folder), user_id=-1, event_type=marker_type)
     out = operator(end.stream.withWatermark("ts", "0 seconds"))
-    return drained(out, end=end, **options)
+    return drained(out, end=end, partitions=_partitions(spark, folder), **options)
 
 
 def _in_order(spark, folder, automaton: st.Automaton, columns=("event_type",), kinds=None) -> DataFrame:
@@ -80,7 +87,7 @@ def stream_uv_exact(spark, folder):
 def stream_group_count(spark, folder):
     """Update mode: every changed count per micro-batch, the newest kept per key."""
     clicks = events_stream(spark, folder).select(F.col("user_id").alias("user"))
-    path = drain(forms.group_counts(clicks, ["user"]), forms.group_counts_writer(["user"]), mode="update")
+    path = drain(forms.group_counts(clicks, ["user"]), forms.group_counts_writer(["user"]), "update", partitions=_partitions(spark, folder))
     return spark.read.parquet(path).groupBy("user").agg(F.max("cnt").alias("cnt"))
 
 
@@ -101,14 +108,15 @@ def _side(spark, folder, kind: str, prefix: str) -> DataFrame:
 def stream_join_interval(spark, folder):
     buys, clicks = _side(spark, folder, "purchase", "purchase"), _side(spark, folder, "click", "click")
     out = forms.interval_join(buys, clicks, ["user_id"], "purchase_ts", "click_ts", 24 * HOUR, 6 * HOUR)
-    return drained(out.drop("purchase_ts", "click_ts"))
+    return drained(out.drop("purchase_ts", "click_ts"), partitions=_partitions(spark, folder))
 
 
 @query("stream_join_window", ORACLES["join_window"])
 def stream_join_window(spark, folder):
     buys = _side(spark, folder, "purchase", "purchase").drop("purchase_us")
     clicks = _side(spark, folder, "click", "click").drop("click_us")
-    return drained(forms.window_join(buys, clicks, ["user_id"], "purchase_ts", "click_ts", DAY))
+    out = forms.window_join(buys, clicks, ["user_id"], "purchase_ts", "click_ts", DAY)
+    return drained(out, partitions=_partitions(spark, folder))
 
 
 @query(

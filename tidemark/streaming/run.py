@@ -28,7 +28,8 @@ def start(
     """Start a query into Parquet files at ``path`` or into a foreachBatch function ``write``.
 
     ``every`` is the trigger interval ("10 seconds"); without it the query takes what is there and
-    stops. State is kept in RocksDB and everything restarts from ``checkpoint``.
+    stops. State is kept in RocksDB and everything restarts from ``checkpoint``. The first start
+    fixes the number of state partitions at that of the session's shuffles.
     """
     for key, value in STATE_CONF.items():
         df.sparkSession.conf.set(key, value)
@@ -44,19 +45,26 @@ def drain(
     writer: Callable[[str], Callable[[DataFrame, int], None]] | None = None,
     mode: str = "append",
     end: EndMarker | None = None,
+    partitions: int | None = None,
 ) -> str:
     """Run a query over all that is there and return the folder of its output.
 
     ``writer(path)`` makes a foreachBatch function; without it rows go to Parquet files. With an
     ``end`` marker the query is run to the end of its data, then once more from its checkpoint with
-    the marker in place.
+    the marker in place. ``partitions`` is the number of state partitions, if not the session's.
     """
     path = new_scratch(df.sparkSession, "stream")
     write = writer(f"{path}/out") if writer else None
-    start(df, f"{path}/checkpoint", f"{path}/out", write, mode).awaitTermination()
-    if end:
-        end.put()
+    conf = df.sparkSession.conf
+    shuffles = conf.get("spark.sql.shuffle.partitions")
+    conf.set("spark.sql.shuffle.partitions", str(partitions or shuffles))
+    try:  # a query copies the session's settings some time after its start: wait for its end
         start(df, f"{path}/checkpoint", f"{path}/out", write, mode).awaitTermination()
+        if end:
+            end.put()
+            start(df, f"{path}/checkpoint", f"{path}/out", write, mode).awaitTermination()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", shuffles)
     return f"{path}/out"
 
 
@@ -66,9 +74,10 @@ def drained(
     mode: str = "append",
     end: EndMarker | None = None,
     schema=None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """What a drained query wrote (possibly nothing)."""
-    path = drain(df, writer, mode, end)
+    path = drain(df, writer, mode, end, partitions)
     return df.sparkSession.read.schema(schema or df.schema).parquet(path)
 
 
