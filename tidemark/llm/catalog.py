@@ -1,6 +1,6 @@
 """All registered queries of the subpackage."""
 
-from tidemark.llm import chat, decontaminate, language, packing, secrets, tokenfile  # noqa: F401  (registration)
+from tidemark.llm import chat, decontaminate, language, packing, secrets, tokenfile, toxicity  # noqa: F401  (registration)
 from tidemark.llm.queries import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
