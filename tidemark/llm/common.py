@@ -15,22 +15,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back, so that it is computed once and a
     lost executor costs a read of that table and nothing else."""
     path = new_scratch(df.sparkSession, label)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    schema = df.schema
-    return df.sparkSession.read.schema(schema).parquet(path)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def join_small(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join with a ``right`` of narrow rows: broadcast while its counted rows are at most
     BROADCAST_ROWS, a shuffled join beyond. ``right`` should be cheap to evaluate twice."""
-    small = right.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    small = right.count() <= BROADCAST_ROWS
     return left.join(F.broadcast(right) if small else right, on, how)
 
 
