@@ -224,19 +224,22 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Setti
     """The documents that no item contaminates."""
     out = docs
     for block in _blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-
-        def clean(parts: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            leaks = Leaks(shared.value, settings)
-            for part in parts:
-                keep = np.ones(len(part), dtype=bool)
-                keep[[h[0] for h in leaks.find(part.tolist())]] = False
-                yield pd.Series(keep)
-
+        clean = _clean(docs.sparkSession.sparkContext.broadcast(block), settings)
         out = out.filter(F.pandas_udf(clean, "boolean")(F.col("text").cast("string")))
     return out
 
 
+def _clean(shared, settings: Settings):
+    def clean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        leaks = Leaks(shared.value, settings)
+        for part in parts:
+            keep = np.ones(len(part), dtype=bool)
+            keep[[h[0] for h in leaks.find(part.tolist())]] = False
+            yield pd.Series(keep)
+
+    return clean
+
+
 def _op9(spark: SparkSession, folder: str) -> DataFrame:
     """Every document that holds a benchmark item, or nearly, with the least number of word edits."""
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

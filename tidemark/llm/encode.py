@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 
@@ -23,7 +25,7 @@ DROPS_SPACE = r"[^ \n]+"
 KEEPS_SPACE = r"[ \n]?[^ \n]+|[ \n]+(?![^ \n])"
 
 _ODD = re.compile(r"[^\S \n]")
-REMEMBERED = 400_000  # pieces kept per worker
+REMEMBERED = 900_000  # pieces kept per worker, about 200 bytes each
 _LONGEST = 80  # longer pieces are not remembered
 
 
@@ -38,8 +40,11 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-        self.cut = re.compile(cut)
+        self.code = "H" if self.dtype == "<u2" else "I"
+        assert sys.byteorder == "little"  # as every platform that Spark supports, bar one
+        self.cut, self.splits = re.compile(cut), cut == DROPS_SPACE
         self.known: dict[str, bytes] = {}
+        self.again: set[str] = set()  # pieces that came in more than one run of texts
 
     @classmethod
     def of(cls, path: str, cut: str) -> "Encoder":
@@ -49,7 +54,7 @@ class Encoder:
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype=self.dtype).tobytes() for x in found]
+        return [array(self.code, x.ids).tobytes() for x in found]
 
     def encode(self, texts: list[str | None], end: int) -> list[bytes]:
         """The ids of every text (null: none), each followed by ``end``, as bytes of ``dtype``."""
@@ -60,11 +65,17 @@ class Encoder:
         return out
 
     def _some(self, texts: list[str | None]) -> list[bytes]:
-        pieces = [[] if t is None or _ODD.search(t) else self.cut.findall(t) for t in texts]
+        odd = [t is not None and _ODD.search(t) is not None for t in texts]
+        if self.splits:
+            pieces = [[] if t is None or o else t.split() for t, o in zip(texts, odd)]
+        else:
+            pieces = [[] if t is None or o else self.cut.findall(t) for t, o in zip(texts, odd)]
         now = set().union(*pieces)
-        if len(self.known) > REMEMBERED:
-            self.known = {p: self.known[p] for p in now if p in self.known}
-        new = [p for p in now if p not in self.known]
+        new = list(now.difference(self.known))
+        self.again |= now.difference(new)
+        if len(self.known) + len(new) > REMEMBERED:
+            kept = self.again if len(self.again) <= REMEMBERED // 2 else self.again & now
+            self.known, self.again = {p: self.known[p] for p in kept}, set()
         known, extra = self.known, {}
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
@@ -73,6 +84,6 @@ class Encoder:
         look = {**known, **extra} if extra else known
         out = [b"".join(map(look.__getitem__, p)) for p in pieces]
         for i, t in enumerate(texts):
-            if t is not None and _ODD.search(t):
+            if odd[i]:
                 out[i] = self._plain([t])[0]
         return out
