@@ -99,7 +99,7 @@ class Words:
         return self.raw[self.start[i] : self.end[i]].tobytes()
 
 
-def batches(texts: list, limit: int = 4 << 20):
+def batches(texts: list, limit: int = 1 << 20):
     """Cut positions into runs of at most ``limit`` characters (one longer text alone), so that the
     flat arrays of a run stay a fixed multiple of ``limit``."""
     begin, size = 0, 0

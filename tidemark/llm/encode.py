@@ -60,7 +60,7 @@ class Encoder:
         """The ids of every text (null: none), each followed by ``end``, as bytes of ``dtype``."""
         out: list[bytes] = []
         last = np.array([end], dtype=self.dtype).tobytes()
-        for a, b in batches(texts):
+        for a, b in batches(texts, 4 << 20):
             out += [x + last for x in self._some(texts[a:b])]
         return out
 
