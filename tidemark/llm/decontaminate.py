@@ -3,8 +3,9 @@
 Texts are compared as words: A-Z lowered, ASCII punctuation removed. A document is contaminated by an
 item of n words when some run of its words is within ``k = floor(max_edits * n)`` word edits of the item.
 
-1. A window of n words can only lie over such a run if n - k of its words occur in the item; windows
-   with fewer words of the benchmark's vocabulary are passed over. This loses nothing.
+1. Of any r words of the item at most k are missing from such a run. The r = ``anchors`` * n words of an
+   item that fewest items have are its anchors; windows of n words with fewer than r - k anchors of the
+   items of n words are passed over. This loses nothing.
 2. The other windows and the items go through the same random walks (CGK): at step j the walk writes
    the current word and moves on if a random bit of (j, word) says so. Equal words bring two walks back
    together, so few edits make few differing places. Samples of places are hashed, and a window meets
@@ -50,23 +51,24 @@ class Settings:
     target_recall: float = 0.99
     agreement: float = 0.4
     places: int = 3
-    walks: int = 8
+    walks: int = 4
+    anchors: float = 0.4
 
     @property
     def tables(self) -> int:
         return math.ceil(math.log(1 - self.target_recall) / math.log(1 - self.agreement**self.places))
 
 
-def embed(words: np.ndarray, walk: int) -> np.ndarray:
-    """CGK embedding of equally long word sequences (a row each): 3 n places, 0 behind the end."""
-    rows, n = words.shape
+def embed(words: np.ndarray, sizes: np.ndarray, walk: int) -> np.ndarray:
+    """CGK embedding of word sequences (a row each, ``sizes`` words, 0 behind them): 3 places a word."""
+    rows, width = words.shape
     padded = np.concatenate((words, np.zeros((rows, 1), np.uint64)), axis=1)
-    out, at, row = np.empty((rows, 3 * n), dtype=np.uint64), np.zeros(rows, dtype=np.int64), np.arange(rows)
-    steps = mix(np.arange(1, 3 * n + 1, dtype=np.uint64) + np.uint64(walk * 100_003))
-    for j in range(3 * n):
+    out, at, row = np.empty((rows, 3 * width), dtype=np.uint64), np.zeros(rows, dtype=np.int64), np.arange(rows)
+    steps = mix(np.arange(1, 3 * width + 1, dtype=np.uint64) + np.uint64(walk * 100_003))
+    for j in range(3 * width):
         out[:, j] = padded[row, at]
         bit = mix(out[:, j] ^ steps[j]) & np.uint64(1)
-        at = np.minimum(at + bit.astype(np.int64), n)
+        at = np.minimum(at + bit.astype(np.int64), sizes)
     return out
 
 
@@ -101,22 +103,37 @@ class Leaks:
             if len(words.hash) >= MIN_WORDS:
                 by_length.setdefault(len(words.hash), []).append(len(self.items))
                 self.items.append((number, words.hash))
-        self.vocabulary = np.unique(np.concatenate([w for _, w in self.items] or [np.empty(0, np.uint64)]))
+        every = [w for _, w in self.items] or [np.empty(0, np.uint64)]
+        self.vocabulary, items_with = np.unique(np.concatenate([np.unique(w) for w in every]), return_counts=True)
         self.lengths = {}
         for n, members in by_length.items():
             matrix = np.stack([self.items[m][1] for m in members])
-            picks = np.random.default_rng(n).integers(0, 3 * n, size=(settings.tables, settings.places))
-            self.lengths[n] = (np.array(members), picks, self._keys(matrix, picks))
-
-    def _keys(self, matrix: np.ndarray, picks: np.ndarray) -> np.ndarray:
-        """A bucket for every row and table."""
-        walks = [embed(matrix, w) for w in range(self.settings.walks)]
-        keys = np.empty((len(matrix), len(picks)), dtype=np.uint64)
-        for t, places in enumerate(picks):
-            key = np.full(len(matrix), t + 1, dtype=np.uint64)
-            for p in places:
-                key = mix(key ^ walks[t % len(walks)][:, p])
-            keys[:, t] = key
+            place = np.searchsorted(self.vocabulary, matrix)
+            r = max(self.allowed(n) + 1, math.ceil(settings.anchors * n))
+            rarest = np.argsort(items_with[place], axis=1, kind="stable")[:, :r]
+            anchor = np.zeros(len(self.vocabulary), dtype=bool)
+            anchor[np.take_along_axis(place, rarest, axis=1)] = True
+            self.lengths[n] = (members, anchor, r - self.allowed(n))
+        keys = self._keys([w for _, w in self.items])
+        self.order = np.argsort(keys, axis=0, kind="stable")
+        self.keys = np.take_along_axis(keys, self.order, axis=0)
+
+    def _keys(self, rows: list[np.ndarray]) -> np.ndarray:
+        """A bucket for every word sequence and table. Sequences of one length sample the same places."""
+        sizes = np.array([len(w) for w in rows], dtype=np.int64)
+        matrix = np.zeros((len(rows), max(sizes, default=1)), dtype=np.uint64)
+        for i, w in enumerate(rows):
+            matrix[i, : len(w)] = w
+        tables, walks = self.settings.tables, self.settings.walks
+        lengths, of = np.unique(sizes, return_inverse=True)
+        shape = (tables, self.settings.places)
+        picks = np.stack([np.random.default_rng(n).integers(0, 3 * n, size=shape) for n in lengths]) if len(lengths) else np.zeros((0, *shape), int)
+        keys = np.repeat(mix(sizes.astype(np.uint64))[:, None], tables, axis=1)
+        for walk in range(walks):
+            embedded = embed(matrix, sizes, walk)
+            mine = np.arange(walk, tables, walks)
+            for p in range(self.settings.places):
+                keys[:, mine] = mix(keys[:, mine] ^ np.take_along_axis(embedded, picks[of][:, mine, p], axis=1))
         return keys
 
     def allowed(self, n: int) -> int:
@@ -125,64 +142,77 @@ class Leaks:
     def find(self, texts: list) -> list[tuple[int, int, int]]:
         """(text number, item number, edits) of every hit, least edits per pair."""
         hits: dict[tuple[int, int], int] = {}
-        if not self.items:
-            return []
-        for a, b in batches(texts):
-            for t, m, d in self._some(texts[a:b]):
-                hits[a + t, m] = min(d, hits.get((a + t, m), d))
+
+        def hit(found: Iterator[tuple[int, int, int]]) -> None:
+            for t, m, d in found:
+                hits[t, m] = min(d, hits.get((t, m), d))
+
+        waiting: list[tuple] = []
+        for a, b in batches(texts) if self.items else ():
+            words = _words(texts[a:b])
+            hit((a + t, m, d) for t, m, d in self._short(words))
+            for window in self._windows(words):
+                waiting.append((a + window[0], *window[1:]))
+                if len(waiting) == 8192:
+                    hit(self._verify(waiting))
+                    waiting = []
+        hit(self._verify(waiting))
         return [(t, m, d) for (t, m), d in hits.items()]
 
-    def _some(self, texts: list) -> Iterator[tuple[int, int, int]]:
-        words = _words(texts)
+    def _windows(self, words: Words) -> Iterator[tuple]:
+        """(text, start, words of the window, words around it) of every window with enough anchors."""
         if not len(words.hash):
             return
         place = np.minimum(np.searchsorted(self.vocabulary, words.hash), len(self.vocabulary) - 1)
-        known = self.vocabulary[place] == words.hash
-        count = np.concatenate(([0], np.cumsum(known, dtype=np.int32)))
-        owner = words.owner().astype(np.int32)
-        for n, (members, picks, keys) in self.lengths.items():
-            if n > len(known):
-                yield from self._short(words, members, n, known)
-                continue
-            enough = np.flatnonzero((count[n:] - count[:-n]) >= n - self.allowed(n))
-            starts = enough[owner[enough] == owner[enough + n - 1]]
-            for at in range(0, len(starts), 4096):
-                yield from self._verify(words, owner, starts[at : at + 4096], n, members, picks, keys)
-            yield from self._short(words, members, n, known)
-
-    def _short(self, words: Words, members: np.ndarray, n: int, known: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        at = np.flatnonzero(self.vocabulary[place] == words.hash)
+        place, owner = place[at], words.owner()
+        for n, (_, anchor, need) in self.lengths.items():
+            held = at[anchor[place]]
+            first, last = held[: max(0, len(held) - need + 1)], held[need - 1 :]
+            close = (last - first < n) & (owner[first] == owner[last])
+            first, last, text = first[close], last[close], owner[first[close]]
+            # every window of n words over these anchors that lies in the text
+            low, high = np.maximum(last - n + 1, words.first[text]), np.minimum(first, words.first[text + 1] - n)
+            count = np.maximum(high - low + 1, 0)
+            starts = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            k = self.allowed(n)
+            for start in np.unique(starts).tolist():
+                t = int(owner[start])
+                a, b = max(words.first[t], start - 2 * k), min(words.first[t + 1], start + n + 3 * k + 8)
+                yield t, start, words.hash[start : start + n], words.hash[a:b]
+
+    def _short(self, words: Words) -> Iterator[tuple[int, int, int]]:
         """Texts a little shorter than an item hold no window of its size: verified directly."""
         size = np.diff(words.first)
-        for t in np.flatnonzero((size < n) & (size >= n - self.allowed(n))):
-            a, b = words.first[t], words.first[t + 1]
-            if known[a:b].sum() < n - self.allowed(n):
-                continue
-            text = words.hash[a:b].tolist()
-            for m in members.tolist():
-                d = edits_within(self.items[m][1].tolist(), text)
-                if d <= self.allowed(n):
-                    yield int(t), self.items[m][0], d
-
-    def _verify(self, words, owner, starts, n, members, picks, keys) -> Iterator[tuple[int, int, int]]:
-        windows = words.hash[starts[:, None] + np.arange(n)[None, :]]
-        found = self._keys(windows, picks)
-        pairs = set()
-        for t in range(len(picks)):
-            order = np.argsort(keys[:, t], kind="stable")
-            ordered = keys[order, t]
-            low, high = np.searchsorted(ordered, found[:, t], "left"), np.searchsorted(ordered, found[:, t], "right")
-            for w in np.flatnonzero(high > low):
-                pairs.update((int(w), int(members[i])) for i in order[low[w] : high[w]])
-        k, seen = self.allowed(n), {}
-        for w, m in sorted(pairs, key=lambda p: (p[1], p[0])):
-            at, text = int(starts[w]), int(owner[starts[w]])
-            if seen.get((text, m), -1) >= at:  # this run of words was compared already
+        for n, (members, _, _) in self.lengths.items():
+            for t in np.flatnonzero((size < n) & (size >= n - self.allowed(n))):
+                text = words.hash[words.first[t] : words.first[t + 1]]
+                for m in members:
+                    number, item = self.items[m]
+                    if np.isin(item, text).sum() >= n - self.allowed(n):
+                        d = edits_within(item.tolist(), text.tolist())
+                        if d <= self.allowed(n):
+                            yield int(t), number, d
+
+    def _verify(self, windows: list[tuple]) -> Iterator[tuple[int, int, int]]:
+        if not windows:
+            return
+        found, pairs = self._keys([w[2] for w in windows]), set()
+        for t in range(found.shape[1]):
+            low, high = np.searchsorted(self.keys[:, t], found[:, t], "left"), np.searchsorted(self.keys[:, t], found[:, t], "right")
+            for w in np.flatnonzero(high > low).tolist():
+                pairs.update((m, w) for m in self.order[low[w] : high[w], t].tolist())
+        seen: dict[tuple[int, int], int] = {}
+        for m, w in sorted(pairs, key=lambda p: (p[0], windows[p[1]][:2])):
+            text, start, window, around = windows[w]
+            number, item = self.items[m]
+            if len(item) != len(window) or seen.get((text, m), -1) >= start:  # compared already
                 continue
-            a, b = max(words.first[text], at - 2 * k), min(words.first[text + 1], at + n + 3 * k + 8)
-            seen[text, m] = at + k + 8
-            d = edits_within(self.items[m][1].tolist(), words.hash[a:b].tolist())
+            k = self.allowed(len(item))
+            seen[text, m] = start + k + 8
+            d = edits_within(item.tolist(), around.tolist())
             if d <= k:
-                yield text, self.items[m][0], d
+                yield text, number, d
 
 
 def _words(texts: list) -> Words:
