@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.clock import DAY, HOUR, SECOND
 from tidemark.operators import distinct, joins, patterns, windows
 from tidemark.sinks.writers import upserted
-from tidemark.sources.files import events, json_lines_stream
+from tidemark.sources.files import events, events_stream as events_slices, json_lines_stream
 from tidemark.streaming import forms, stateful as st
 from tidemark.streaming.run import EndMarker, drain, drained, start
 
@@ -301,3 +301,57 @@ def test_builtin_forms_equal_batch_on_events(spark, folder, event_steps):
     got = event_steps(lambda s: st.in_order(s, ["event_type"], st.EarlyFire(DAY), slot=HOUR)).select("event_type", "window_start", "cnt")
     want = windows.tumbling_by_hand(batch, ["event_type"], DAY)
     assert rows(got) == rows(want, "event_type", "window_start", "cnt")
+
+
+def test_a_slot_written_in_three_micro_batches(spark, tmp_path):
+    """One key, one slot, rows from three micro-batches: as good as one."""
+    data = [("u", "fail", 1), ("u", "fail", 2), ("u", "fail", 3), ("u", "success", 4), ("u", "fail", 5)]
+    fail = lambda r: r.type == "fail"
+    for step in (1, 2, 5):
+        part = tmp_path / str(step)
+        part.mkdir()
+        stream = history(spark, part, data, per_step=step)
+        assert rows(drained(st.in_order(stream, ["k"], st.HitRun(fail), slot=60 * S))) == [("u", 3 * S)]
+
+
+def test_more_rows_of_a_key_than_a_page_holds(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(st.InOrder, "PAGE_ROWS", 7)
+    data = [("u", "fail", t) for t in range(1, 41)]
+    stream = history(spark, tmp_path, data, per_step=20)
+    got = drained(st.in_order(stream, ["k"], st.HitRun(lambda r: r.type == "fail"), slot=3600 * S))
+    assert rows(got) == sorted((("u", t * S) for t in range(3, 41)), key=repr)
+
+
+def test_restart_in_the_middle_of_a_slot(spark, tmp_path):
+    data = [("u", "fail", t) for t in (1, 2, 3, 4)]
+    folder, checkpoint, out = tmp_path / "in", str(tmp_path / "cp"), str(tmp_path / "out")
+    folder.mkdir()
+
+    def put(i, k, t):
+        path = folder / f"{i:04d}.json"
+        path.write_text(json.dumps({"k": k, "type": "fail", "t": t}) + "\n")
+        os.utime(path, (1_000_000 + i, 1_000_000 + i))
+
+    def run():
+        raw = json_lines_stream(spark, str(folder), HISTORY, files_per_batch=1)
+        timed = raw.withColumn("us", (F.col("t") * S).cast("bigint")).withColumn("ts", F.timestamp_micros("us")).drop("t")
+        matched = st.in_order(timed.withWatermark("ts", "0 seconds"), ["k"], st.HitRun(lambda r: True), slot=60 * S)
+        start(matched, checkpoint, out).awaitTermination()
+
+    for i, (k, _, t) in enumerate(data[:2]):
+        put(i, k, t)
+    run()
+    for i, (k, _, t) in enumerate([*data[2:], ("end", "fail", END_S)], 2):
+        put(i, k, t)
+    run()
+    assert rows(spark.read.parquet(out).filter("k = 'u'")) == [("u", 3 * S), ("u", 4 * S)]
+
+
+def test_recorded_events_come_in_many_micro_batches(spark, folder, tmp_path):
+    stream = events_slices(spark, folder).withWatermark("ts", "0 seconds")
+    query = start(windows.tumbling(stream, ["event_type"], DAY, [F.count("*").alias("cnt")]), str(tmp_path / "cp"), str(tmp_path / "out"))
+    query.awaitTermination()
+    progress = [p for p in query.recentProgress if p.numInputRows]
+    assert len(progress) >= 8
+    state = [p.stateOperators[0].numRowsTotal for p in progress]
+    assert max(state) < 5 * 30  # windows that are over leave the state

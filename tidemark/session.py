@@ -47,11 +47,13 @@ def local_session(cores: int | str = "*", app: str = "tidemark", **conf: str) ->
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests, a laptop)
-    a temporary folder is made and remembered for the session.
+    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset and everything runs
+    on this machine (tests, a laptop) a temporary folder is made and remembered for the session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.session import new_scratch
+
 TEXT_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
 
@@ -16,12 +18,36 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return _timed(table(spark, folder, "events"))
 
 
-def events_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The same table as a stream of its files. All files there make one micro-batch: the files of a
-    table are in no order of time, and taking them a few at a time would make rows late."""
+# Slices of the recorded table that a stream gets one after another, a micro-batch each.
+SLICES = 8
+_recorded: dict[tuple[str, str, int], tuple[str, int]] = {}
+
+
+def _record(spark: SparkSession, folder: str, slices: int) -> tuple[str, int]:
+    """The event table as files in order of time, written once per session: slice after slice, since
+    a file stream takes files by their modification time. Returns the folder and files per slice."""
+    key = (spark.sparkContext.applicationId, folder, slices)
+    if key not in _recorded:
+        timed, path = table(spark, folder, "events"), new_scratch(spark, "recorded")
+        files = max(1, int(spark.conf.get("spark.tidemark.filesPerSlice", "1")))
+        second = F.unix_seconds(F.col("ts").cast("timestamp"))
+        shares = [i / slices for i in range(1, slices)]
+        cuts = timed.agg(F.percentile_approx(second, shares)).first()[0] or []
+        edges = [None, *sorted(set(cuts)), None]
+        for low, high in zip(edges[:-1], edges[1:]):
+            part = timed if low is None else timed.filter(second >= low)
+            part = part if high is None else part.filter(second < high)
+            part.repartition(files).write.mode("append").parquet(path)
+        _recorded[key] = (path, files)
+    return _recorded[key]
+
+
+def events_stream(spark: SparkSession, folder: str, slices: int = SLICES) -> DataFrame:
+    """The same table as a stream, replayed in order of time in ``slices`` micro-batches, so that no
+    row is late and the watermark moves while rows still come."""
+    path, files = _record(spark, folder, slices)
     schema = table(spark, folder, "events").schema
-    # A pattern, because a stream takes a single file only when a pattern finds it.
-    return _timed(spark.readStream.schema(schema).parquet(f"{folder}/events.parque[t]"))
+    return _timed(spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path))
 
 
 def _timed(df: DataFrame) -> DataFrame:

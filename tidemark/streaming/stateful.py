@@ -65,9 +65,8 @@ class InOrder(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         fields = ", ".join(c.replace(" ", ": ", 1) for c in self.schema.split(", "))
-        # page 0 of a slot also tells how many pages follow
-        page = f"waiting array<struct<{fields}>>, more bigint"
-        self.pages = handle.getMapState("pages", "slot bigint, page bigint", page)
+        self.pages = handle.getMapState("pages", "slot bigint, page bigint", f"waiting array<struct<{fields}>>")
+        self.counts = handle.getMapState("counts", "slot bigint", "pages bigint")  # pages of a slot so far
         self.held = handle.getValueState("held", self.automaton.state)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
@@ -84,13 +83,12 @@ class InOrder(StatefulProcessor):
         return iter([])
 
     def _store(self, page: dict[int, list[tuple]]) -> None:
+        """A page is written once and never read back before its slot is over."""
         for slot, waiting in page.items():
-            if self.pages.containsKey((slot, 0)):
-                first, more = self.pages.getValue((slot, 0))
-                self.pages.updateValue((slot, 0), (first, more + 1))
-                self.pages.updateValue((slot, more + 1), (waiting, 0))
-            else:
-                self.pages.updateValue((slot, 0), (waiting, 0))
+            n = self.counts.getValue((slot,))[0] if self.counts.containsKey((slot,)) else 0
+            self.pages.updateValue((slot, n), (waiting,))
+            self.counts.updateValue((slot,), (n + 1,))
+            if not n:
                 self._wake(slot)
 
     def _wake(self, slot: int) -> None:
@@ -98,15 +96,12 @@ class InOrder(StatefulProcessor):
         self.handle.registerTimer((slot + 1) * self.slot // 1000)
 
     def _take(self, slot: int) -> list[Row]:
-        make, rows, n, more = Row(*self.columns), [], 0, 0
-        while n <= more:
-            page = self.pages.getValue((slot, n))
-            if page is None:
-                break
-            rows += [make(*r) for r in page[0]]
-            more = more if n else page[1]
-            self.pages.removeKey((slot, n))
-            n += 1
+        make, rows = Row(*self.columns), []
+        if self.counts.containsKey((slot,)):
+            for n in range(self.counts.getValue((slot,))[0]):
+                rows += [make(*r) for r in self.pages.getValue((slot, n))[0]]
+                self.pages.removeKey((slot, n))
+            self.counts.removeKey((slot,))
         return sorted(rows, key=lambda r: (r[self.us], r[self.tie] if self.tie else 0))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -122,7 +117,7 @@ class InOrder(StatefulProcessor):
         now = timerValues.getCurrentWatermarkInMs() * 1000
         over = now - now % self.slot - 1  # last instant of the newest slot that is over
         ahead = self.automaton.deadline(s)
-        if ahead is not None and ahead <= over and not self.pages.exists():
+        if ahead is not None and ahead <= over and not self.counts.exists():
             # Nothing waits, so no row can come before the deadline. (A timer set here would only
             # fire in a later micro-batch, and there may be none.)
             s = self._fire(s, over, out)
@@ -353,25 +348,32 @@ class EarlyFire(Automaton):
 
 
 class ElementTimers(Automaton):
-    """One timer per instant ``us + after``; the row it leads to is emitted when it fires."""
+    """One timer per instant ``us + after``; the row it leads to is emitted when it fires. Rows come in
+    order and the delay is constant, so the timers are a queue: ``head`` of them have fired."""
 
-    state, output = "timers array<bigint>", "timer bigint"
+    state, output = "timers array<bigint>, head bigint", "timer bigint"
 
     def __init__(self, after: int):
         self.after = after
 
     def begin(self):
-        return ([],)
+        return ([], 0)
 
     def row(self, s, r):
+        timers, head = s
         t = r.us + self.after
-        return s if t in s[0] else ([*s[0], t],), []
+        if not timers or timers[-1] != t:
+            timers.append(t)
+        return (timers, head), []
 
     def deadline(self, s):
-        return min(s[0], default=None)
+        return s[0][s[1]] if s[1] < len(s[0]) else None
 
     def fire(self, s, t):
-        return ([x for x in s[0] if x != t],), [(t,)]
+        timers, head = s[0], s[1] + 1
+        if 2 * head > len(timers):
+            timers, head = timers[head:], 0
+        return (timers, head), [(t,)]
 
 
 class Stats(Automaton):
