@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.sizing import is_small, settle
+from tidemark.functions.sizing import settle
 from tidemark.operators.ordered import running, shifted
 from tidemark.session import scratch_root
 
@@ -98,7 +98,7 @@ def rising_alerts(
     value: str,
     hold: int,
     us: str = "us",
-    longest_fold: int = 50_000,
+    longest_fold: int = 5_000,
     **cut_options,
 ) -> DataFrame:
     """Alert when a value has not fallen for ``hold`` after a rise.
@@ -118,10 +118,9 @@ def rising_alerts(
     moves = settle(running(settle(moves), keys, order, falls_before, before=True, **cut_options))
     seg = [*keys, "__seg"]
     rise = F.when(~F.col("__fall"), F.col(us))
-    if is_small(moves) and not cut_options:
-        short, long = moves, None
-    else:
-        sizes = moves.groupBy(*seg).agg(F.count(rise).alias("n")).filter(F.col("n") > longest_fold).drop("n")
+    sizes = moves.groupBy(*seg).agg(F.count(rise).alias("n")).filter(F.col("n") > longest_fold).drop("n")
+    short, long = moves, None
+    if not sizes.isEmpty():
         # long segments hold more than ``longest_fold`` rows each; let Spark choose the join
         short = moves.join(sizes, seg, "left_anti")
         long = moves.join(sizes, seg, "left_semi")
@@ -136,7 +135,7 @@ def rising_alerts(
         ).otherwise(acc),
     )
     begun = folded.filter(F.size("rises") > 0).select(*keys, "fall", F.explode(starts).alias("start"))
-    if long is not None and not long.isEmpty():
+    if long is not None:
         begun = begun.unionByName(_linked_starts(long, seg, us, hold, cut_options).select(*keys, "fall", "start"))
     fires = F.col("start") + F.lit(hold)
     return begun.filter(F.col("fall").isNull() | (F.col("fall") > fires)).select(*keys, fires.alias("alert_us"))

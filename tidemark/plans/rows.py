@@ -56,11 +56,11 @@ def source_parallel(spark, folder):
     return twice.select("event_id", "event_type", F.col("copy").alias("subtask"))
 
 
-@query("source_partitioned", "SELECT event_id, event_id % 2 AS subtask FROM events")
+@query("source_partitioned", "SELECT event_id % 2 AS subtask, count(*) AS n, CAST(1 AS BIGINT) AS partitions FROM events GROUP BY 1")
 def source_partitioned(spark, folder):
-    """Each row once, at the subtask of its residue."""
+    """Each row once, all rows of a residue in one partition."""
     placed = distribution.to_subtask(events(spark, folder).select("event_id"), 2, F.pmod("event_id", F.lit(2)))
-    return placed.select("event_id", "subtask")
+    return _partitions_of(placed, "subtask")
 
 
 @query("json_scan_parse", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
@@ -223,7 +223,28 @@ def udaf_incremental(spark, folder):
     return counted.withColumnRenamed("acc", "cnt")
 
 
-PLACED_SQL = "SELECT event_id, user_id FROM events"
+def _partitions_of(placed, key: str):
+    """In how many partitions the rows of a key are."""
+    where = placed.select(key, F.spark_partition_id().alias("p"))
+    return where.groupBy(key).agg(F.count("*").alias("n"), F.countDistinct("p").alias("partitions"))
+
+
+def _spread_of(placed, most: int):
+    """Whether rows fill no more than ``most`` partitions, and those evenly."""
+    by_partition = placed.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count("*").alias("n"))
+    mean = F.sum("n") / most
+    return by_partition.agg(
+        F.sum("n").alias("n"),
+        (F.count("*") <= most).alias("within"),
+        (F.max("n") <= mean + 6 * F.sqrt(mean) + 1).alias("even"),
+    )
+
+
+def _parallelism(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+SPREAD_SQL = "SELECT CAST(count(*) AS BIGINT) AS n, true AS within, true AS even FROM events"
 
 
 @query("dist_broadcast", "SELECT event_id, CAST(copy AS INTEGER) AS copy FROM events, (VALUES (0), (1)) AS p(copy)")
@@ -231,21 +252,26 @@ def dist_broadcast(spark, folder):
     return distribution.to_every(events(spark, folder).select("event_id"), 2)
 
 
-@query("dist_shuffle", PLACED_SQL)
+@query("dist_shuffle", SPREAD_SQL)
 def dist_shuffle(spark, folder):
-    return distribution.shuffle(events(spark, folder).select("event_id", "user_id"), 8, "event_id")
+    p = _parallelism(spark)
+    return _spread_of(distribution.shuffle(events(spark, folder).select("event_id", "user_id"), p, "event_id"), p)
 
 
-@query("dist_rebalance", PLACED_SQL)
+@query("dist_rebalance", SPREAD_SQL)
 def dist_rebalance(spark, folder):
-    return distribution.rebalance(events(spark, folder).select("event_id", "user_id"), 8)
+    p = _parallelism(spark)
+    return _spread_of(distribution.rebalance(events(spark, folder).select("event_id", "user_id"), p), p)
 
 
-@query("dist_rescale", PLACED_SQL)
+@query("dist_rescale", "SELECT CAST(count(*) AS BIGINT) AS n, true AS within FROM events")
 def dist_rescale(spark, folder):
-    return distribution.rescale(events(spark, folder).select("event_id", "user_id"), 4)
+    p = _parallelism(spark)
+    return _spread_of(distribution.rescale(events(spark, folder).select("event_id", "user_id"), p), p).select("n", "within")
 
 
-@query("dist_hash", PLACED_SQL)
+@query("dist_hash", "SELECT user_id, count(*) AS n, CAST(1 AS BIGINT) AS partitions FROM events GROUP BY user_id")
 def dist_hash(spark, folder):
-    return distribution.by_key(events(spark, folder).select("event_id", "user_id"), 8, "user_id", split_hot=True)
+    """All rows of a key in one partition."""
+    placed = distribution.by_key(events(spark, folder).select("event_id", "user_id"), _parallelism(spark), "user_id")
+    return _partitions_of(placed, "user_id")
