@@ -86,7 +86,7 @@ def test_join_does_not_depend_on_pivots(spark, monkeypatch):
     rows = near_copies(random.Random(3), n_bases=6)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     true = ngram_join._pivots
-    monkeypatch.setattr(ngram_join, "_pivots", lambda shared: true(shared).limit(3))
+    monkeypatch.setattr(ngram_join, "_pivots", lambda mixed, seed: true(mixed, seed).limit(3))
     monkeypatch.setattr(ngram_join, "GROUP", 2)
     monkeypatch.setattr(ngram_join, "QUERIES_PER_TASK", 3)
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs).collect()}
