@@ -20,7 +20,7 @@ from tidemark.plans.rolling import ROWS
 from tidemark.plans.windows import HOP_COUNT
 from tidemark.sinks.writers import upsert_files, upserted
 from tidemark.session import new_scratch
-from tidemark.sources.files import events, events_stream, item
+from tidemark.sources.files import EVENT_TIME, events, events_stream, item
 from tidemark.streaming import forms, stateful as st
 from tidemark.streaming.run import EndMarker, drain, drained, start
 
@@ -186,7 +186,8 @@ def stream_event_timers(spark, folder):
 def stream_late_side_output(spark, folder):
     """Late rows into a second output, record by record in arrival order."""
     late_by = F.pmod(F.col("event_id") * 7919, F.lit(48)) * F.lit(HOUR)
-    arrivals = events_stream(spark, folder).select("event_id", (F.col("us") + late_by).alias("arr"), "us")
+    arrival = f"{EVENT_TIME} + pmod(event_id * 7919, 48) * {HOUR}"
+    arrivals = events_stream(spark, folder, order=arrival).select("event_id", (F.col("us") + late_by).alias("arr"), "us")
     path = new_scratch(spark, "routed")
     write = forms.late_router(path, ["arr", "event_id"], DELAY)
     start(arrivals, f"{path}/checkpoint", write=write).awaitTermination()

@@ -20,17 +20,18 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 # Slices of the recorded table that a stream gets one after another, a micro-batch each.
 SLICES = 8
-_recorded: dict[tuple[str, str, int], tuple[str, int]] = {}
+EVENT_TIME = "unix_micros(CAST(ts AS TIMESTAMP))"
+_recorded: dict[tuple, tuple[str, int]] = {}
 
 
-def _record(spark: SparkSession, folder: str, slices: int) -> tuple[str, int]:
-    """The event table as files in order of time, written once per session: slice after slice, since
+def _record(spark: SparkSession, folder: str, slices: int, order: str) -> tuple[str, int]:
+    """The event table as files in order of ``order`` (microseconds), written once per session: slice after slice, since
     a file stream takes files by their modification time. Returns the folder and files per slice."""
-    key = (spark.sparkContext.applicationId, folder, slices)
+    key = (spark.sparkContext.applicationId, folder, slices, order)
     if key not in _recorded:
         timed, path = table(spark, folder, "events"), new_scratch(spark, "recorded")
         files = max(1, int(spark.conf.get("spark.tidemark.filesPerSlice", "1")))
-        second = F.unix_seconds(F.col("ts").cast("timestamp"))
+        second = F.floor(F.expr(order) / 1_000_000).cast("bigint")
         shares = [i / slices for i in range(1, slices)]
         cuts = timed.agg(F.percentile_approx(second, shares)).first()[0] or []
         edges = [None, *sorted(set(cuts)), None]
@@ -42,10 +43,10 @@ def _record(spark: SparkSession, folder: str, slices: int) -> tuple[str, int]:
     return _recorded[key]
 
 
-def events_stream(spark: SparkSession, folder: str, slices: int = SLICES) -> DataFrame:
-    """The same table as a stream, replayed in order of time in ``slices`` micro-batches, so that no
+def events_stream(spark: SparkSession, folder: str, slices: int = SLICES, order: str = EVENT_TIME) -> DataFrame:
+    """The same table as a stream, replayed in order of time, or another order, in ``slices`` micro-batches, so that no
     row is late and the watermark moves while rows still come."""
-    path, files = _record(spark, folder, slices)
+    path, files = _record(spark, folder, slices, order)
     schema = table(spark, folder, "events").schema
     return _timed(spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path))
 

@@ -124,6 +124,8 @@ def control_filter(
         was = carried.before(spark, batch_id)
         control = batch.filter(is_control).select(us, value)
         newest = control.agg(F.max(F.struct(us, value)).alias("n")).first()["n"] or was
+        if was is not None and was[0] > newest[0]:  # micro-batches may come out of order
+            newest = was
         if was is not None:
             control = control.unionByName(spark.createDataFrame([tuple(was)], control.schema))
         data = batch.filter(~is_control).drop(value)
