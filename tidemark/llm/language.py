@@ -30,7 +30,7 @@ from tidemark.llm.queries import add
 
 ORDER = 4
 # The training sample: so many rows of every language, in expectation, chosen by a hash of the id.
-SAMPLE_ROWS = 600
+SAMPLE_ROWS = 400
 MAX_LANGUAGES = 256
 UNKNOWN = "und"
 
@@ -59,7 +59,7 @@ class Model:
         self.seen: list[tuple[np.ndarray, np.ndarray]] = []  # per order: context and byte -> cost
         self.escapes: list[tuple[np.ndarray, np.ndarray]] = []  # per order: context -> cost of escaping
         texts = [_Coded(s) for s in samples]
-        for k in range(order + 1):
+        for k in range(order + 1 if texts else 0):
             grams = [np.unique(_grams(t.raw, t.start, k), return_counts=True) for t in texts]
             every = np.unique(np.concatenate([g for g, _ in grams]))
             contexts = np.unique(every >> np.uint64(9))
@@ -130,7 +130,7 @@ class Model:
         n = len(texts)
         lang, score, rate = np.full(n, UNKNOWN, dtype=object), np.zeros(n), np.zeros(n)
         if self.languages:
-            for a, b in batches(texts):
+            for a, b in batches(texts, 2 << 20):
                 part = [_lower(t) for t in texts[a:b]]
                 bits, size = self.lengths(part)
                 best = bits.argmin(axis=1)
