@@ -4,11 +4,13 @@ A document is the set of its distinct five-word shingles (64-bit hashes); two do
 ``100 * |A & B| >= 75 * |A | B|``. The join is exact:
 
 1. Equal sets are one class with one representative. The same pass counts how often shingles of each
-   of 2^20 hash slots occur: a sketch of fixed size that only sets the order, rare slots first, in
+   of 2^22 hash slots occur: a sketch of fixed size that only sets the order, rare slots first, in
    which the shingles of a set are listed.
-2. Two linked sets share one of their first ``n - ceil(3 n / 4) + 1`` shingles in any common order (the
-   prefix). Representatives emit those; shingles that only one of them has are dropped. This is the
-   only table as large as the corpus, and it is shuffled once.
+2. In any common order, two linked sets share at least l(n) = max(1, n // 10) of their first
+   ``n - ceil(3 n / 4) + l(n)`` shingles (l of the smaller set). Representatives emit this prefix;
+   shingles that only one of them has are dropped, then sets with fewer than l shared ones (those
+   that have a passage or two in common with others). This is the only table
+   as large as the corpus, and it is shuffled once.
 3. Partition: every set is compared with a few pivots of the shingles it shares; what links is one
    component, so the copies of one text need no pairs among themselves.
 4. Token-group matrix: components are cut into groups of at most GROUP sets; the matrix holds which
@@ -38,9 +40,10 @@ from tidemark.llm.graph import components
 from tidemark.llm.queries import add
 
 WIDTH = 5
-SLOT_BITS = 20
+SLOT_BITS = 22
 _BLOCKS = 16  # the counts of the slots travel in so many pieces
 GROUP = 64  # sets in a group
+ROUNDS = 1  # of pivots; more only save work, and three saved none on the tables here
 QUERIES_PER_TASK = 1024  # sets that ask one group, after which it is dealt out to more tasks
 _LOW = np.uint64((1 << (64 - SLOT_BITS)) - 1)
 
@@ -66,8 +69,8 @@ def shingle_sets(texts: list) -> Iterator[np.ndarray]:
                 yield np.empty(0, dtype=np.uint64)
 
 
-def prefix_size(n: np.ndarray | int):
-    return n - (3 * n + 3) // 4 + 1
+def prefix_size(n: int) -> int:
+    return n - (3 * n + 3) // 4 + max(1, n // 10) if n else 0
 
 
 def similar(x: np.ndarray, y: np.ndarray) -> bool:
@@ -87,7 +90,7 @@ def _prints(docs: DataFrame) -> DataFrame:
                 n.append(len(s))
                 h1.append(int(mix(s ^ np.uint64(0x5BD1E995)).sum(dtype=np.uint64)))
                 h2.append(int(mix(s + np.uint64(0x27D4EB2F165667C5)).sum(dtype=np.uint64)))
-                np.add.at(slots, (s >> np.uint64(64 - SLOT_BITS)).astype(np.int64), 1)
+                slots[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)] += 1  # a set's rare double slot counts once
             prints = [np.array(h, dtype=np.uint64).view(np.int64) for h in (h1, h2)]
             yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "n": n, "h1": prints[0], "h2": prints[1], "part": None, "block": None, "counts": None})
         packed = [zlib.compress(x.tobytes(), 1) for x in np.split(slots, _BLOCKS)]
@@ -101,7 +104,7 @@ def _prints(docs: DataFrame) -> DataFrame:
 
 
 def _slot_ranks(prints: DataFrame) -> np.ndarray:
-    """The rank of every slot, rarest first. Summed in two levels; 2^20 numbers reach the driver."""
+    """The rank of every slot, rarest first. Summed in two levels; 2^22 numbers reach the driver."""
 
     def summed(part: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros((1 << SLOT_BITS) // _BLOCKS, dtype=np.int64)
@@ -117,8 +120,8 @@ def _slot_ranks(prints: DataFrame) -> np.ndarray:
     for r in rows:
         each = len(total) // _BLOCKS
         total[r["block"] * each : (r["block"] + 1) * each] = np.frombuffer(zlib.decompress(r["counts"]), dtype=np.int64)
-    rank = np.empty(len(total), dtype=np.uint64)
-    rank[np.argsort(total, kind="stable")] = np.arange(len(total), dtype=np.uint64)
+    rank = np.empty(len(total), dtype=np.uint32)
+    rank[np.argsort(total, kind="stable")] = np.arange(len(total), dtype=np.uint32)
     return rank
 
 
@@ -128,21 +131,30 @@ def _shared_tokens(reps: DataFrame, ranks: np.ndarray) -> DataFrame:
 
     def prefixes(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            tokens, sizes = [np.empty(0, np.uint64)], []
+            tokens, sizes, early = [np.empty(0, np.uint64)], [], [np.empty(0, bool)]
             for s in shingle_sets(part["text"].tolist()):
-                ordered = rank.value[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)] << np.uint64(64 - SLOT_BITS) | s & _LOW
-                tokens.append(np.sort(ordered)[: prefix_size(len(s)) if len(s) else 0])
+                first = rank.value[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)].astype(np.uint64)
+                tokens.append(np.sort(first << np.uint64(64 - SLOT_BITS) | s & _LOW)[: prefix_size(len(s))])
                 sizes.append(len(s))
+                early.append(np.arange(len(tokens[-1])) <= len(s) - (3 * len(s) + 3) // 4)
             count = np.array([len(t) for t in tokens[1:]], dtype=np.int64)
             yield pd.DataFrame({
                 "token": np.concatenate(tokens).view(np.int64),
                 "node": np.repeat(part["doc_id"].to_numpy(np.int64), count), "n": np.repeat(np.array(sizes, dtype=np.int32), count),
+                "early": np.concatenate(early),
             })
 
-    emitted = reps.select("doc_id", "text").mapInPandas(prefixes, "token bigint, node bigint, n int")
+    emitted = reps.select("doc_id", "text").mapInPandas(prefixes, "token bigint, node bigint, n int, early boolean")
     same = Window.partitionBy("token")
     ends = emitted.withColumns({"least": F.min("node").over(same), "most": F.max("node").over(same)})
-    return stored(ends.filter("least < most").select("token", "node", "n"), "shared-tokens")
+    shared = stored(ends.filter("least < most").select("token", "node", "n", "early"), "shared-tokens")
+    need = F.greatest(F.lit(1), F.floor(F.ceil(3 * F.col("n") / 4) / 10))
+    counted = shared.groupBy("node").agg(F.count("*").alias("c"), F.first("n").alias("n"))
+    enough = stored(counted.filter(F.col("c") >= need).select("node"), "nodes-left")
+    left = join_small(shared.filter("early"), enough, ["node"])
+    ends = left.withColumns({"least": F.min("node").over(same), "most": F.max("node").over(same)})
+    # linked sets share one of their first n - ceil(3 n / 4) + 1; the others have done their work
+    return stored(ends.filter("least < most").select("token", "node", "n"), "early-tokens")
 
 
 def _fits(n: Column, m: Column) -> Column:
@@ -150,15 +162,28 @@ def _fits(n: Column, m: Column) -> Column:
     return (4 * F.least(n, m)) >= (3 * F.greatest(n, m))
 
 
-def _pivots(shared: DataFrame, orders: int = 2) -> DataFrame:
-    """``(node, gid, member)``: for every node the pivot it shares most shingles with, in each order."""
-    ranked = [F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(r))).alias(f"p{r}") for r in range(orders)]
-    chosen = shared.groupBy("token").agg(*ranked)
-    picked = F.explode(F.array(*[F.struct(F.lit(r).alias("r"), F.col(f"p{r}.node").alias("pivot"), F.col(f"p{r}.n").alias("pn")) for r in range(orders)]))
-    pairs = shared.join(chosen, "token").select("node", "n", picked.alias("x")).select("node", "n", "x.*")
-    counted = pairs.filter((F.col("node") != F.col("pivot")) & _fits(F.col("n"), F.col("pn"))).groupBy("node", "r", "pivot").agg(F.count("*").alias("c"))
-    best = counted.groupBy("node", "r").agg(F.max_by("pivot", F.struct("c", "pivot")).alias("pivot"))
-    return stored(best.select("node", F.col("pivot").alias("gid")).distinct(), "pivots")
+def _mixed(shared: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """The rows, with their node's component, of shingles that several components have."""
+    if parts is None:
+        return shared.withColumn("component", F.col("node"))
+    placed = join_small(shared, parts, ["node"], "left").select("token", "node", "n", F.coalesce("component", "node").alias("component"))
+    same = Window.partitionBy("token")
+    ends = placed.withColumns({"least": F.min("component").over(same), "most": F.max("component").over(same)})
+    return stored(ends.filter("least < most").drop("least", "most"), "mixed-tokens")
+
+
+def _pivots(mixed: DataFrame, seed: int) -> DataFrame:
+    """``(node, gid)``: for every node the pivot, in another component, that it shares most shingles
+    with. Part of the shingles serve at first: what this misses, later rounds and the matrix find."""
+    if not seed:
+        mixed = mixed.filter(F.pmod(F.xxhash64("token"), F.lit(4)) == 0)
+    pivot = F.struct(F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("component").alias("pc"))
+    chosen = mixed.groupBy("token").agg(F.min_by(pivot, F.xxhash64("node", F.lit(seed))).alias("p"))
+    pairs = mixed.join(chosen, "token").select("node", "n", "component", "p.*")
+    other = pairs.filter((F.col("component") != F.col("pc")) & _fits(F.col("n"), F.col("pn")))
+    counted = other.groupBy("node", "pivot").agg(F.count("*").alias("c"))
+    best = counted.groupBy("node").agg(F.max_by("pivot", F.struct("c", "pivot")).alias("gid"))
+    return stored(best, "pivots")
 
 
 def _sets(reps: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -207,11 +232,8 @@ def _opened(queries: DataFrame, members: DataFrame, sets: DataFrame, label: str)
     return stored(dealt.mapInPandas(compare, "a bigint, b bigint"), label)
 
 
-def _remaining(shared: DataFrame, parts: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between the components ``parts(node, component)``, by the token-group matrix."""
-    placed = shared.join(parts, "node", "left").select("token", "node", "n", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("token")
-    cross = stored(placed.join(mixed, "token"), "cross-tokens")
+def _remaining(cross: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between different components, by the token-group matrix."""
     members = cross.select("node", "component", "n").distinct()
     sizes = members.groupBy("component").agg(F.count("*").alias("size"))
     bucket = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / GROUP)).cast("int")
@@ -245,9 +267,13 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     reps = join_small(texts.filter("doc_id IS NOT NULL AND text IS NOT NULL"), spare, ["doc_id"], "left_anti")
     shared = _shared_tokens(reps, _slot_ranks(prints))
     sets = _sets(reps, stored(shared.select("node").distinct(), "nodes"))
-    pivots = _pivots(shared)
-    links = _opened(pivots, pivots.select("gid", F.col("gid").alias("node")).distinct(), sets, "links-of-pivots")
-    more = _remaining(shared, components(links), sets)
+    links = parts = None
+    for seed in range(ROUNDS):
+        pivots = _pivots(_mixed(shared, parts), seed)
+        more = _opened(pivots, pivots.select("gid", F.col("gid").alias("node")).distinct(), sets, "links-of-pivots")
+        links = more if links is None else links.union(more)
+        parts = stored(components(links), "parts")
+    more = _remaining(_mixed(shared, parts), sets)
     found = stored(components(links.union(more)).toDF("rep", "component"), "components")
     out = join_small(placed, found, ["rep"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
