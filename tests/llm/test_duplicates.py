@@ -135,6 +135,21 @@ def test_embeddings_brute_force(spark, monkeypatch):
     assert found[None].n_links == 0 and found[None].component_id is None and len(found) == table.count()
 
 
+def test_embeddings_with_more_lists_than_probes(spark):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((3000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    u = rng.standard_normal(x.shape)
+    u -= (u * x).sum(axis=1, keepdims=True) * x
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    x = np.concatenate((x, 0.902 * x + np.sqrt(1 - 0.902**2) * u))
+    want = (x @ x.T >= 0.9).sum(axis=1) - 1
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in embeddings.near_duplicates(table, probes=2, members_per_list=8).collect()}
+    got = np.array([found[i] for i in range(len(x))])
+    assert (got <= want).all() and want.sum() >= 6000 and got.sum() >= 0.98 * want.sum()
+
+
 def test_embeddings_empty(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id bigint, embedding array<float>")).count() == 0
 
