@@ -66,6 +66,14 @@ def test_language_of_odd_rows(spark):
     assert none.filter("_language.lang <> 'und'").count() == 0
 
 
+def test_no_language_is_left_out(spark):
+    rows = [(3 * k + j, f"word{k:03d}x " * 6, f"l{k:03d}") for k in range(270) for j in range(3 if k < 260 else 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.train(docs)
+    assert model.languages == sorted({r[2] for r in rows})
+    assert all(r.lang == r["_language"].lang for r in language.with_language(docs, model).collect())
+
+
 def test_language_held_out_accuracy(spark, folder):
     docs = {r.doc_id: r.lang for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     found = QUERIES["op3_language_id"](spark, folder).collect()

@@ -25,13 +25,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import Words, batches, table
+from tidemark.llm.common import Words, batches, join_small, table
 from tidemark.llm.queries import add
 
 ORDER = 4
 # The training sample: so many rows of every language, in expectation, chosen by a hash of the id.
-SAMPLE_ROWS = 400
-MAX_LANGUAGES = 256
+SAMPLE_ROWS = 600
+BLOCK = 64  # languages that share arrays
 UNKNOWN = "und"
 
 
@@ -142,6 +142,19 @@ class Model:
         return pd.DataFrame({"lang": lang, "score": score, "bits": rate})
 
 
+class Models(Model):
+    """Models of any number of languages, BLOCK at a time, so that an array has BLOCK columns at most. A
+    code length depends on its own language only, so it is the same in any block."""
+
+    def __init__(self, languages: list[str], samples: list[list[str]], order: int = ORDER):
+        self.languages, self.order = languages, order
+        self.parts = [Model(languages[a : a + BLOCK], samples[a : a + BLOCK], order) for a in range(0, len(languages), BLOCK)]
+
+    def lengths(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [m.lengths(texts) for m in self.parts]
+        return np.concatenate([bits for bits, _ in found], axis=1), found[0][1]
+
+
 def _lower(text: str | None) -> str:
     return "" if text is None else text.lower()
 
@@ -164,17 +177,16 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
 
     About ``sample_rows`` rows of every language are fetched, whatever the size of the table."""
     rows = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    if not counts:
-        return Model([], [])
     unit = 1 << 30
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], int(min(1.0, sample_rows / r["n"]) * unit))])
-    chosen = rows.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(unit)) < F.try_element_at(share, F.col("lang")))
+    share = (F.least(F.lit(1.0), F.lit(float(sample_rows)) / F.count("*")) * unit).cast("bigint")
+    shares = rows.groupBy("lang").agg(share.alias("share"))
+    drawn = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(unit)) < F.col("share")
+    chosen = join_small(rows.select("doc_id", "text", "lang"), shares, ["lang"]).filter(drawn)
     found: dict[str, list[str]] = {}
     for r in chosen.select("lang", F.col("text").cast("string")).collect():
         found.setdefault(r[0], []).append(r[1])
     languages = sorted(found)
-    return Model(languages, [found[x] for x in languages])
+    return Models(languages, [found[x] for x in languages])
 
 
 def with_language(docs: DataFrame, model: Model) -> DataFrame:
