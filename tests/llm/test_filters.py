@@ -168,6 +168,20 @@ def test_nnpu_learns_from_positives_and_unlabelled():
     assert toxicity.fit([], unlabelled, 0.1).score(["x"])[0] < 1e-6
 
 
+def test_toxicity_where_it_is_rare(spark):
+    rng = np.random.default_rng(4)
+    words = np.array([f"{a}{b}" for a in "plain word text such other".split() for b in "qwertyuiopasdf"])
+    slurs = ["zzvile", "xxfoul", "kknasty", "jjgross"]
+    rows = []
+    for i in range(40_000):
+        text = rng.choice(words, 8).tolist() + ([slurs[i // 1000 % 4]] if i % 1000 == 0 else [])
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    toxic = docs.filter("doc_id % 1000 = 0")
+    found = toxicity.score(docs, toxicity.train(docs, toxic, 1e-3)).filter("score >= 0.3")
+    assert sorted(r.doc_id for r in found.collect()) == list(range(0, 40_000, 1000))
+
+
 def test_toxicity_of_odd_rows(spark):
     docs = odd_docs(spark)
     model = toxicity.fit(["a vile thing"] * 9, ["a thing"] * 9, 0.2)

@@ -7,7 +7,8 @@ which only overfitting does, the step goes the other way.
 
 Features are the presence of a word and of every run of five bytes in it (A-Z lowered). Kept are those
 that enough positives have and that are toxic four times in five after the prior's correction,
-``p * P(feature | positive) >= 0.8 * P(feature | unlabelled)``; the classifier is trained on them in
+``p * P(feature | positive) >= 0.8 * P(feature | unlabelled)``, the latter counted in the tasks over so many
+rows that COUNTED_TOXIC toxic ones are expected (all, where the table has fewer); the classifier is trained on them in
 numpy and scores whole texts in the tasks.
 
 Defined cases: a null or empty text has no features and gets the base score; without positives every
@@ -17,7 +18,7 @@ no rows; columns other than the id and the text are never read for a score.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,6 +30,8 @@ from tidemark.llm.queries import add
 
 # The bounded sample of the classifier: rows in expectation, chosen by a hash of the id.
 SAMPLE_POSITIVE, SAMPLE_UNLABELLED = 2_500, 8_000
+# Features are counted over so many unlabelled rows that this many toxic ones are expected among them.
+COUNTED_TOXIC = 500
 MAX_FEATURES = 1 << 15
 RUN = 5
 _UNIT = 1 << 30
@@ -89,12 +92,22 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(total + self.bias, -500, 500)))
 
 
+def _presence(texts: list[str], known: np.ndarray) -> np.ndarray:
+    """The number of texts that each feature is in."""
+    return np.bincount(features(texts, known)[1].astype(np.int64), minlength=len(known))
+
+
 def _log1p_exp(x: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, x)
 
 
-def fit(positive: list[str], unlabelled: list[str], prior: float, steps: int = 300, rate: float = 0.05, decay: float = 1e-3) -> Classifier:
-    """Minimise the non-negative risk with the logistic loss (Adam over the whole sample)."""
+def fit(
+    positive: list[str], unlabelled: list[str], prior: float, steps: int = 300, rate: float = 0.05, decay: float = 1e-3,
+    counted: Callable[[np.ndarray], tuple[np.ndarray, int]] | None = None,
+) -> Classifier:
+    """Minimise the non-negative risk with the logistic loss (Adam over the whole sample).
+
+    ``counted`` gives in how many of how many unlabelled texts each feature is (default: of ``unlabelled``)."""
     n_p, n_u = len(positive), len(unlabelled)
     if not n_p or not n_u:
         return Classifier(np.empty(0, np.uint64), np.empty(0), -500.0)
@@ -102,9 +115,8 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, steps: int = 3
     seen, count = np.unique(hash_p, return_counts=True)
     often = count >= max(5, 0.004 * n_p)
     seen, count = seen[often], count[often]
-    row_u, col_u = features(unlabelled, seen)
-    in_u = np.bincount(col_u.astype(np.int64), minlength=len(seen))
-    telling = np.flatnonzero(prior * count / n_p >= 0.8 * (in_u + 1) / n_u)
+    in_u, n_all = counted(seen) if counted else (_presence(unlabelled, seen), n_u)
+    telling = np.flatnonzero(prior * count / n_p >= 0.8 * (in_u + 1) / max(1, n_all))
     known = np.sort(seen[telling[np.argsort(-count[telling], kind="stable")][:MAX_FEATURES]])
     row_p, col_p = (x.astype(np.int64) for x in features(positive, known))
     row_u, col_u = (x.astype(np.int64) for x in features(unlabelled, known))
@@ -132,18 +144,45 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, steps: int = 3
     return Classifier(known, w[:-1], float(w[-1]))
 
 
-def _sampled(rows: DataFrame, wanted: int, salt: int) -> list[str]:
+def _drawn(rows: DataFrame, wanted: float, salt: int) -> DataFrame:
+    """Distinct texts of about ``wanted`` rows."""
     n = rows.count()
     share = int(min(1.0, wanted / max(1, n)) * _UNIT)
     chosen = rows.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(salt)), F.lit(_UNIT)) < share)
-    return [r[0] for r in chosen.select(F.col("text").cast("string")).distinct().collect()]
+    return chosen.select(F.col("text").cast("string").alias("text")).distinct()
+
+
+def _sampled(rows: DataFrame, wanted: int, salt: int) -> list[str]:
+    return [r[0] for r in _drawn(rows, wanted, salt).collect()]
+
+
+def _counted(texts: DataFrame, known: np.ndarray) -> tuple[np.ndarray, int]:
+    """In how many of how many texts each feature is; only counts leave the tasks."""
+    shared = texts.sparkSession.sparkContext.broadcast(known)
+
+    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, n = np.zeros(len(shared.value), dtype=np.int64), 0
+        for part in parts:
+            total += _presence(part["text"].tolist(), shared.value)
+            n += len(part)
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"feature": np.append(at, -1), "n": np.append(total[at], n)})
+
+    rows = texts.mapInPandas(count, "feature bigint, n bigint").groupBy("feature").agg(F.sum("n").alias("n")).toPandas()
+    numbers = np.zeros(len(known) + 1, dtype=np.int64)
+    numbers[rows["feature"].to_numpy(np.int64)] = rows["n"]  # the last one is the number of texts
+    return numbers[:-1], int(numbers[-1])
 
 
 def train(docs: DataFrame, toxic_ids: DataFrame, prior: float) -> Classifier:
     """A classifier from the documents whose ids ``toxic_ids(doc_id)`` confirms and unlabelled ones."""
     texts = docs.filter("text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text")
     positive = texts.join(toxic_ids.select("doc_id").distinct(), "doc_id", "left_semi")
-    return fit(_sampled(positive, SAMPLE_POSITIVE, 1), _sampled(texts, SAMPLE_UNLABELLED, 2), prior)
+    wide = max(SAMPLE_UNLABELLED, COUNTED_TOXIC / prior)
+    return fit(
+        _sampled(positive, SAMPLE_POSITIVE, 1), _sampled(texts, SAMPLE_UNLABELLED, 2), prior,
+        counted=lambda known: _counted(_drawn(texts, wide, 2), known),
+    )
 
 
 def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
