@@ -28,9 +28,3 @@ def spark():
 @pytest.fixture(scope="session")
 def folder():
     return SMALL
-
-
-def rows(df, *columns):
-    """Sorted plain tuples of a result."""
-    out = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in out.collect()), key=repr)
