@@ -70,14 +70,15 @@ class Words:
 
     A word is a run of bytes other than the six ASCII spaces, A-Z lowered. ``raw`` holds the lowered
     bytes of all texts with a space between them; word i is ``raw[start[i]:end[i]]``, ``hash[i]`` its
-    64-bit hash; text k has the words ``first[k]:first[k + 1]``.
+    64-bit hash; text k has the words ``first[k]:first[k + 1]``. ``gaps`` tells by byte what stands
+    between words, if not the spaces.
     """
 
-    def __init__(self, texts, lower: bool = True):
+    def __init__(self, texts, lower: bool = True, gaps: np.ndarray = _SPACE):
         encoded = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
         raw = np.frombuffer(b" ".join(encoded) + b" ", dtype=np.uint8)
         self.raw = _LOWER[raw] if lower else raw
-        space = _SPACE[raw]
+        space = gaps[raw]
         edge = np.diff(np.concatenate(([True], space)).view(np.int8))
         self.start = np.flatnonzero(edge == -1)
         self.end = np.flatnonzero(edge == 1)
