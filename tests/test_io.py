@@ -143,7 +143,7 @@ def test_sketches_merge(spark, folder):
 
 
 def test_carried_value_is_the_one_before(spark, tmp_path):
-    carried = Carried(str(tmp_path / "c"), "top bigint")
+    carried = Carried(str(tmp_path / "c"), ["top"])
     assert carried.before(spark, 0) is None
     carried.save(spark, 0, (5,))
     carried.save(spark, 1, (7,))

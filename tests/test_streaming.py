@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clock import DAY, HOUR, SECOND
 from tidemark.operators import distinct, joins, patterns, windows
-from tidemark.sinks.writers import upserted
 from tidemark.sources.files import events, events_stream as events_slices, json_lines_stream
 from tidemark.streaming import forms, stateful as st
 from tidemark.streaming.run import EndMarker, drain, drained, start
@@ -84,7 +83,7 @@ def test_window_join_stream(spark, tmp_path):
 
 def test_group_counts_update_mode(spark, tmp_path):
     stream = replay(spark, tmp_path, "user string", [[{"user": u}] for u in ("Mary", "Bob", "Mary", "Liz")])
-    path = drain(forms.group_counts(stream, ["user"]), forms.group_counts_writer(["user"]), mode="update")
+    path = drain(forms.group_counts(stream, ["user"]), forms.group_counts_writer(), mode="update")
     changes = spark.read.parquet(path)
     assert rows(changes, "batch", "user", "cnt") == [(0, "Mary", 1), (1, "Bob", 1), (2, "Mary", 2), (3, "Liz", 1)]
     final = changes.groupBy("user").agg(F.max("cnt"))

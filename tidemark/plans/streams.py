@@ -13,15 +13,17 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.functions.clock import DAY, HOUR, MINUTE
 from tidemark.functions.sizing import is_small
 from tidemark.operators import distinct, windows
-from tidemark.plans import matching, rows  # noqa: F401  (their SQL is reused)
+from tidemark.plans import late as _late, matching, rows  # noqa: F401  (their SQL is reused)
 from tidemark.plans.late import ARRIVED, DELAY
 from tidemark.plans.registry import ORACLES, query
 from tidemark.plans.rolling import ROWS
 from tidemark.plans.windows import HOP_COUNT
-from tidemark.sinks.writers import upsert_files, upserted
+from tidemark.sinks.versioned import VersionedTable
+from tidemark.sinks.writers import upsert_table, upserted
 from tidemark.session import new_scratch
 from tidemark.sources.files import EVENT_TIME, events, events_stream, item
 from tidemark.streaming import forms, stateful as st
+from tidemark.streaming.lateness import fired, late_rows, late_windows_writer
 from tidemark.streaming.run import EndMarker, drain, drained, start
 
 
@@ -87,15 +89,18 @@ def stream_uv_exact(spark, folder):
 def stream_group_count(spark, folder):
     """Update mode: every changed count per micro-batch, the newest kept per key."""
     clicks = events_stream(spark, folder).select(F.col("user_id").alias("user"))
-    path = drain(forms.group_counts(clicks, ["user"]), forms.group_counts_writer(["user"]), "update", partitions=_partitions(spark, folder))
-    return spark.read.parquet(path).groupBy("user").agg(F.max("cnt").alias("cnt"))
+    schema = "user bigint, cnt bigint"
+    counts = forms.group_counts(clicks, ["user"])
+    path = drain(counts, lambda out: upsert_table(out, schema, ["user"], "cnt"), "update", partitions=_partitions(spark, folder))
+    return VersionedTable(spark, path, ["user"], "cnt", schema).read()
 
 
 @query("stream_upsert_last", ORACLES["sink_upsert_last"])
 def stream_upsert_last(spark, folder):
     clicks = events_stream(spark, folder).selectExpr("user_id AS username", "event_type AS url", "event_id")
-    path = drain(clicks, lambda out: upsert_files(out, ["username"], ["url"], "event_id"))
-    return upserted(spark, path, ["username"], ["url"], "event_id")
+    schema = "username bigint, event_id bigint, url string"
+    path = drain(clicks, lambda out: upsert_table(out, schema, ["username"], "event_id"))
+    return upserted(spark, path, schema, ["username"], "event_id")
 
 
 def _side(spark, folder, kind: str, prefix: str) -> DataFrame:
@@ -194,6 +199,36 @@ def stream_late_side_output(spark, folder):
     return spark.read.parquet(f"{path}/out").select("output", "event_id")
 
 
+def _late_windows(spark, folder, lateness: int) -> str:
+    """Windows of a day over the arrivals in eight micro-batches, then a row far in the future that closes them."""
+    late_by = F.pmod(F.col("event_id") * 7919, F.lit(48)) * F.lit(HOUR)
+    arrival = f"{EVENT_TIME} + pmod(event_id * 7919, 48) * {HOUR}"
+    end = EndMarker(events_stream(spark, folder, order=arrival), event_id=-1, event_type="end")
+    rows = end.stream.select("event_type", "event_id", "us", (F.col("us") + late_by).alias("arr"))
+    keys = {"event_type": "string"}
+    path = drain(rows, lambda out: late_windows_writer(out, keys, ["arr", "event_id"], DELAY, DAY, lateness), end=end)
+    return path
+
+
+@query("stream_allowed_lateness", ORACLES["allowed_lateness"])
+def stream_allowed_lateness(spark, folder):
+    """First firings, one more per row late by up to 12 hours, and the rows too late even for that."""
+    path = _late_windows(spark, folder, 12 * HOUR)
+    dropped = late_rows(spark, path).groupBy("event_type", "window_end").agg(F.count("*").alias("cnt"))
+    dropped = dropped.withColumns({"fire": F.lit(None).cast("bigint"), "kind": F.lit("side_output")})
+    return fired(spark, path).unionByName(dropped)
+
+
+@query("stream_window_late_side_output", ORACLES["window_late_side_output"])
+def stream_window_late_side_output(spark, folder):
+    """Window counts, and how many rows came after their window had closed."""
+    path = _late_windows(spark, folder, 0)
+    counted = fired(spark, path).select("event_type", "window_end", "cnt", F.lit(0).alias("late"))
+    late = late_rows(spark, path).select("event_type", "window_end", F.lit(0).alias("cnt"), F.lit(1).alias("late"))
+    both = counted.unionByName(late).groupBy("event_type", "window_end")
+    return both.agg(F.sum("cnt").alias("cnt"), F.sum("late").alias("late"))
+
+
 @query("stream_sql_hop_count", ORACLES["sql_hop_count"])
 def stream_sql_hop_count(spark, folder):
     """The SQL statement of the batch form on a streaming view."""

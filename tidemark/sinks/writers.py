@@ -1,4 +1,4 @@
-"""Sinks: labelled print, Kafka options, upsert by key, idempotent micro-batch files."""
+"""Sinks: labelled print, Kafka options, upsert by key (database, versioned table), idempotent micro-batch files."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
+from tidemark.sinks.versioned import VersionedTable
+
 
 def labelled(df: DataFrame, label: str) -> DataFrame:
     """Rows with the sink's label as first column."""
@@ -73,15 +75,16 @@ def batch_files(path: str, transform: Callable[[DataFrame], DataFrame] = lambda
     return write
 
 
-def upsert_files(path: str, keys: list[str], values: list[str], seq: str):
-    """A foreachBatch function keeping every batch's newest row per key; read with ``upserted``."""
+def upsert_table(path: str, schema: str, keys: list[str], seq: str):
+    """A foreachBatch function keeping the newest row of every key in a ``VersionedTable``; ``schema`` is that of
+    the keys, ``seq`` and the values."""
 
-    def newest(batch: DataFrame) -> DataFrame:
-        best = F.max(F.struct(F.col(seq), *values)).alias("n")
-        return batch.groupBy(*keys).agg(best).select(*keys, f"n.{seq}", *[f"n.{v}" for v in values])
+    def write(batch: DataFrame, batch_id: int) -> None:
+        VersionedTable(batch.sparkSession, path, keys, seq, schema).merge(batch, batch_id)
 
-    return batch_files(path, newest)
+    return write
 
 
-def upserted(spark: SparkSession, path: str, keys: list[str], values: list[str], seq: str) -> DataFrame:
-    return last_per_key(spark.read.parquet(path), keys, values, F.col(seq))
+def upserted(spark: SparkSession, path: str, schema: str, keys: list[str], seq: str) -> DataFrame:
+    """What the batches so far have left in the table, without ``seq``."""
+    return VersionedTable(spark, path, keys, seq, schema).read().drop(seq)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.clock import interval
 from tidemark.operators import joins, topn, watermarks
 from tidemark.operators.windows import bounds, sliding_counts
-from tidemark.sinks.writers import batch_files, upsert_files
+from tidemark.sinks.writers import batch_files
 from tidemark.streaming.run import Carried
 
 
@@ -76,14 +76,14 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str,
 
 
 def group_counts(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Counts per key for update mode: each changed key once per micro-batch. Sum the changes by
-    keeping the newest, for example with ``group_counts_writer``."""
+    """Counts per key for update mode: each changed key once per micro-batch. Write the changes with
+    ``group_counts_writer``, or keep the newest with ``writers.upsert_table`` (a count only grows, so it is
+    its own sequence number)."""
     return df.groupBy(*keys).agg(F.count("*").alias("cnt"))
 
 
-def group_counts_writer(keys: list[str]) -> Callable[[str], Callable]:
-    # a count only grows, so it is its own sequence number
-    return lambda path: upsert_files(path, keys, [], "cnt")
+def group_counts_writer() -> Callable[[str], Callable]:
+    return batch_files
 
 
 def late_router(path: str, arrival: list[str], delay: int, us: str = "us") -> Callable[[DataFrame, int], None]:
@@ -93,18 +93,20 @@ def late_router(path: str, arrival: list[str], delay: int, us: str = "us") -> Ca
     all earlier batches, which is carried over. Both outputs leave in one write, told apart by the
     column ``output`` (a folder each): main and late.
     """
-    carried = Carried(f"{path}/seen", "top bigint")
+    carried = Carried(f"{path}/seen", ["top"])
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         was = carried.before(spark, batch_id)
         top = F.lit(was["top"] if was else None).cast("bigint")
+        batch = batch.persist()
         seen = watermarks.with_watermark_before(batch, arrival, delay, us)
         seen = seen.withColumn("wm_before", F.greatest("wm_before", top - F.lit(delay + 1)))
         tagged = seen.withColumn("output", F.when(watermarks.late(us), "late").otherwise("main"))
         batch_files(f"{path}/out", by=["output"])(tagged.drop("wm_before"), batch_id)
         newest = batch.agg(F.greatest(F.max(us), top).alias("top")).first()["top"]
         carried.save(spark, batch_id, (newest,))
+        batch.unpersist()
 
     return write
 
@@ -117,11 +119,12 @@ def control_filter(
     One stream holds data and control rows in event-time order of its batches; the last control
     value of earlier batches is carried over.
     """
-    carried = Carried(f"{path}/control", f"us bigint, {value} string")
+    carried = Carried(f"{path}/control", [us, value])
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         was = carried.before(spark, batch_id)
+        batch = batch.persist()
         control = batch.filter(is_control).select(us, value)
         newest = control.agg(F.max(F.struct(us, value)).alias("n")).first()["n"] or was
         if was is not None and was[0] > newest[0]:  # micro-batches may come out of order
@@ -133,5 +136,6 @@ def control_filter(
         batch_files(f"{path}/out")(held.filter(keep), batch_id)
         if newest is not None:
             carried.save(spark, batch_id, tuple(newest))
+        batch.unpersist()
 
     return write

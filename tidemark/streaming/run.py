@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions import storage
 from tidemark.session import ROCKSDB_PROVIDER, new_scratch
 
 STATE_CONF = {
@@ -108,24 +110,26 @@ class EndMarker:
 
 
 class Carried:
-    """One small row carried from micro-batch to micro-batch in the scratch folder.
+    """A few values carried from micro-batch to micro-batch, in a small file a batch.
 
-    The value for batch n is the one saved by the newest batch before n, so running a batch again
-    after a failure finds the same value.
+    The values for batch n are those saved by the newest batch before n, so running a batch again after a
+    failure finds the same values. The two newest files are kept.
     """
 
-    def __init__(self, path: str, schema: str):
-        self.path, self.schema = path, schema
+    def __init__(self, path: str, names: list[str]):
+        self.path, self.names = path, names
+
+    def _batches(self, spark: SparkSession) -> list[int]:
+        return [int(n.split(".")[0]) for n in storage.names(spark, self.path) if not n.startswith(".")]
+
+    def _file(self, batch_id: int) -> str:
+        return f"{self.path}/{batch_id:012d}.json"
 
     def before(self, spark: SparkSession, batch_id: int) -> Row | None:
-        try:
-            saved = spark.read.schema(f"{self.schema}, batch bigint").parquet(self.path)
-        except Exception as error:
-            if "PATH_NOT_FOUND" in str(error):
-                return None
-            raise
-        return saved.filter(F.col("batch") < batch_id).orderBy(F.col("batch").desc()).drop("batch").first()
+        earlier = [b for b in self._batches(spark) if b < batch_id]
+        return Row(*self.names)(*json.loads(storage.read_text(spark, self._file(max(earlier))))) if earlier else None
 
     def save(self, spark: SparkSession, batch_id: int, values: tuple) -> None:
-        one = spark.createDataFrame([values], self.schema)
-        one.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        storage.write_text(spark, self._file(batch_id), json.dumps(values))
+        for old in sorted(self._batches(spark))[:-2]:
+            storage.delete(spark, self._file(old))
