@@ -55,9 +55,9 @@ def with_lifecycle(
 def custom_aggregate(
     df: DataFrame,
     keys: list[str],
-    value: str,
+    value: str | list[str],
     acc_type: str,
-    add: Callable[[object, pd.Series], object],
+    add: Callable[[object, pd.Series | pd.DataFrame], object],
     merge: Callable[[object, object], object],
     create: Callable[[], object],
     max_keys_held: int = 100_000,
@@ -68,7 +68,7 @@ def custom_aggregate(
     one small row per task. Partial accumulators are merged in two rounds, first spread over 64
     salts (by task, so a task that runs again sends them to the same place): no task meets all
     partials of a hot key. Built-in aggregates are faster; this is for code Spark has no aggregate
-    for. The result column is ``acc``.
+    for. ``add`` gets a series of ``value``, or a frame for a list of columns. The result column is ``acc``.
     """
     key_schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
 
@@ -94,7 +94,8 @@ def custom_aggregate(
             total = merge(total, acc)
         return batch.head(1).assign(acc=[total])
 
-    partial = df.select(*keys, value).mapInPandas(fold, f"{key_schema}, acc {acc_type}")
+    values = [value] if isinstance(value, str) else value
+    partial = df.select(*keys, *values).mapInPandas(fold, f"{key_schema}, acc {acc_type}")
     salted = partial.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(64)))
     first = salted.groupBy(*keys, "salt").applyInPandas(merged, salted.schema)
     second = first.drop("salt")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clock import DAY, HOUR
 from tidemark.operators import joins, patterns
+from tidemark.operators.pattern import Pattern, select_each
 from tidemark.plans.registry import query
 from tidemark.sources.files import events, item, table
 
@@ -121,6 +122,41 @@ def fsm_three_fails(spark, folder):
     return hits.select("user_id", "us")
 
 
+def burst():
+    """Two errors in a row, then something else, within two days."""
+    error = F.col("event_type") == "error"
+    return Pattern.begin("errors", error).times(2).next("after", ~error).within(48 * HOUR)
+
+
+def burst_rows(found):
+    """Every row of every match, with its stage and place there."""
+    rows = F.flatten(
+        F.transform(
+            F.map_entries("match"),
+            lambda e: F.transform(e["value"], lambda r, i: F.struct(e["key"].alias("stage"), i.alias("place"), r["event_id"].alias("event_id"), r["us"].alias("us"))),
+        )
+    )
+    first = F.col("match")["errors"][0]["us"].alias("begun_us")
+    each = select_each(found.select("user_id", first, "tag", rows.alias("rows")), F.col("rows"), ["user_id", "begun_us", "tag"])
+    return each.withColumn("place", F.col("place").cast("int"))
+
+
+@query(
+    "cep_map_matches",
+    """WITH {E}, w AS (SELECT *, lead(t) OVER p AS t2, lead(t, 2) OVER p AS t3, lead(us) OVER p AS us2, lead(us, 2) OVER p AS us3,
+    lead(id) OVER p AS id2, lead(id, 2) OVER p AS id3 FROM e WINDOW p AS (PARTITION BY u ORDER BY us)), s AS (SELECT *,
+    coalesce(us2 - us < 48*{H}, false) AS in2, coalesce(us3 - us < 48*{H}, false) AS in3 FROM w WHERE t = 'error'),
+    m AS (SELECT *, CASE WHEN NOT in2 THEN 1 WHEN t2 = 'error' AND NOT in3 THEN 2 WHEN t2 = 'error' AND t3 <> 'error' THEN 3 END AS reached FROM s)
+    SELECT u AS user_id, m.us AS begun_us, CASE WHEN reached = 3 THEN 'match' ELSE 'timeout' END AS tag, x.stage, CAST(x.place AS INTEGER) AS place,
+    x.id AS event_id, x.us AS us FROM m, LATERAL (SELECT * FROM (VALUES (1, 'errors', 0, m.id, m.us), (2, 'errors', 1, m.id2, m.us2),
+    (3, 'after', 0, m.id3, m.us3)) v(i, stage, place, id, us) WHERE i <= m.reached) x WHERE reached IS NOT NULL""",
+)
+def cep_map_matches(spark, folder):
+    """Matches as maps from stage to rows, then one row per row of a match."""
+    history = events(spark, folder).select("user_id", "us", "event_type", "event_id")
+    return burst_rows(burst().match(history, ["user_id"], ["us"], ["event_id", "us"]))
+
+
 def _fail(row):
     return row("event_type") == "error"
 

@@ -19,10 +19,10 @@ from tidemark.plans.registry import ORACLES, query
 from tidemark.plans.rolling import ROWS
 from tidemark.plans.windows import HOP_COUNT
 from tidemark.sinks.versioned import VersionedTable
-from tidemark.sinks.writers import upsert_table, upserted
+from tidemark.sinks.writers import batch_files, upsert_table, upserted
 from tidemark.session import new_scratch
 from tidemark.sources.files import EVENT_TIME, events, events_stream, item
-from tidemark.streaming import forms, stateful as st
+from tidemark.streaming import forms, stateful as st, triggers
 from tidemark.streaming.lateness import fired, late_rows, late_windows_writer
 from tidemark.streaming.run import EndMarker, drain, drained, start
 
@@ -55,13 +55,15 @@ def stream_tumble_event(spark, folder):
 
 @query("stream_tumble_manual", ORACLES["tumble_event"])
 def stream_tumble_manual(spark, folder):
-    """Tumbling windows from per-key state and timers."""
+    """Tumbling windows by hand: counts in map state under salted keys, timers at the ends."""
+    end = EndMarker(events_stream(spark, folder), user_id=-1, event_type="view")
+    counts = st.count_windows(end.stream.select("event_type", "ts", "us").withWatermark("ts", "0 seconds"), ["event_type"], DAY)
+    schema = "event_type string, window_start bigint, window_end bigint, cnt bigint"
 
-    def operator(s: DataFrame) -> DataFrame:
-        return st.in_order(s.select("event_type", "ts", "us"), ["event_type"], st.EarlyFire(DAY), slot=MINUTE)
+    def writer(path: str):
+        return batch_files(path, lambda parts: st.whole_windows(parts, ["event_type"], DAY))
 
-    out = _drain(spark, folder, operator)
-    return out.select("event_type", "window_start", (F.col("fired_at") + 1).alias("window_end"), "cnt")
+    return drained(counts, writer, end=end, schema=schema, partitions=_partitions(spark, folder)).drop("batch")
 
 
 @query("stream_hot_items_topn", ORACLES["hot_items_topn"])
@@ -182,6 +184,40 @@ def stream_early_fire_counts(spark, folder):
     return _in_order(spark, folder, st.EarlyFire(DAY, 6 * HOUR))
 
 
+@query("stream_trigger_early", ORACLES["early_fire_counts"])
+def stream_trigger_early(spark, folder):
+    """The early firings again, as a trigger on window state."""
+    return _in_order(spark, folder, triggers.Triggered(DAY, triggers.Early(6 * HOUR)))
+
+
+@query(
+    "stream_trigger_count_purge",
+    """WITH {E}, k AS (SELECT u, us, us // {D} * {D} AS ws, row_number() OVER (PARTITION BY u, us // {D} ORDER BY us) AS n FROM e)
+    SELECT u AS user_id, ws AS window_start, us AS fired_at, CAST(3 AS BIGINT) AS cnt FROM k WHERE n % 3 = 0""",
+)
+def stream_trigger_count_purge(spark, folder):
+    """Every third row of a user and day fires the window and empties it."""
+    return _in_order(spark, folder, triggers.Triggered(DAY, triggers.EveryN(3)))
+
+
+@query("stream_reconcile", ORACLES["reconcile_full_outer"])
+def stream_reconcile(spark, folder):
+    """The n-th click and the n-th purchase of a user, each waiting two days for the other."""
+    automaton = st.ReconcileNth(lambda r: r.event_type == "click", 48 * HOUR)
+    return _in_order(spark, folder, automaton, kinds=("click", "purchase")).select("user_id", "n", "left_us", "right_us", "outcome")
+
+
+@query("stream_cep_map_matches", ORACLES["cep_map_matches"])
+def stream_cep_map_matches(spark, folder):
+    """The pattern of ``cep_map_matches`` on a stream."""
+
+    def operator(stream: DataFrame) -> DataFrame:
+        return matching.burst().match_stream(stream, ["user_id"], ["event_id", "us"], slot=MINUTE)
+
+    found = _drain(spark, folder, operator, "end").filter(F.col("user_id") >= 0)
+    return matching.burst_rows(found)
+
+
 @query("stream_event_timers", "WITH {E} SELECT DISTINCT u AS user_id, us + 6*{H} AS timer FROM e")
 def stream_event_timers(spark, folder):
     return _in_order(spark, folder, st.ElementTimers(6 * HOUR))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.clock import DAY, HOUR
-from tidemark.operators import distinct, topn, windows
+from tidemark.operators import distinct, topn, window_functions, windows
 from tidemark.plans.registry import query
 from tidemark.sources.files import events, item
 
@@ -31,6 +31,64 @@ def tumble_full(spark, folder):
     return windows.tumbling(events(spark, folder), ["event_type"], DAY, aggs)
 
 
+class TwoGreatest(window_functions.Accumulator):
+    """Number of values, and the two greatest of them."""
+
+    sql_type = "array<double>"
+
+    def create(self):
+        return []
+
+    def add(self, acc, elements):
+        values = elements["value"].dropna()
+        return self.merge(acc, [float(len(values)), *values.nlargest(2)])
+
+    def merge(self, a, b):
+        if not len(a) or not len(b):
+            return list(a if len(a) else b)
+        return [a[0] + b[0], *sorted([*a[1:], *b[1:]], reverse=True)[:2]]
+
+
+@query(
+    "tumble_user_function",
+    """WITH {E} SELECT t AS event_type, us // {D} * {D} AS window_start, us // {D} * {D} + {D} AS window_end, count(v) AS cnt,
+    max(v) AS greatest, list_sort(list(v), 'DESC', 'NULLS LAST')[2] AS second FROM e WHERE v IS NOT NULL GROUP BY 1, 2, 3""",
+)
+def tumble_user_function(spark, folder):
+    """A user accumulator per key and window, and a function that adds the bounds."""
+
+    def finish(key, start, end, acc):
+        return [(int(acc[0]), acc[1], acc[2] if len(acc) > 2 else None)]
+
+    rows = events(spark, folder).filter("value IS NOT NULL")
+    output = "cnt bigint, greatest double, second double"
+    return window_functions.aggregate_window(rows, ["event_type"], DAY, ["value"], TwoGreatest(), finish, output)
+
+
+@query(
+    "tumble_process_function",
+    """WITH {E}, a AS (SELECT *, us // {D} * {D} AS ws FROM e WHERE v IS NOT NULL), d AS (SELECT *, CASE WHEN v < lag(v) OVER o
+    THEN 1 ELSE 0 END AS fell FROM a WINDOW o AS (PARTITION BY t, ws ORDER BY us, id)), r AS (SELECT *, sum(fell) OVER (PARTITION
+    BY t, ws ORDER BY us, id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM d), n AS (SELECT t, ws, run, count(*)
+    AS k FROM r GROUP BY ALL) SELECT t AS event_type, ws AS window_start, ws + {D} AS window_end, CAST(sum(k) AS BIGINT) AS cnt,
+    max(k) AS longest_rise FROM n GROUP BY ALL""",
+)
+def tumble_process_function(spark, folder):
+    """A function over all elements of a window in order: the longest run of values that do not fall."""
+
+    def longest(key, start, end, elements):
+        n, run, best, last = 0, 0, 0, None
+        for batch in elements:
+            for v in batch["value"]:
+                run = run + 1 if last is None or v >= last else 1
+                n, best, last = n + 1, max(best, run), v
+        return [(n, best)]
+
+    rows = events(spark, folder).filter("value IS NOT NULL")
+    output = "cnt bigint, longest_rise bigint"
+    return window_functions.process_window(rows, ["event_type"], DAY, ["value"], longest, output, order=["us", "event_id"])
+
+
 @query("tumble_incremental", "WITH {E} SELECT t AS event_type, count(*) AS cnt FROM e GROUP BY t, us // {D}")
 def tumble_incremental(spark, folder):
     counts = windows.tumbling(events(spark, folder), ["event_type"], DAY, [F.count("*").alias("cnt")])

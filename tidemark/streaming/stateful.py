@@ -30,8 +30,20 @@ def _columns(df: DataFrame, names: list[str]) -> str:
 
 
 def _row(schema: str) -> Row:
-    """A row class with the column names of a schema string."""
-    return Row(*[column.split()[0] for column in schema.split(", ")])
+    """A row class with the column names of a schema string, whose types may hold commas themselves."""
+    names, depth = [], 0
+    for column in schema.split(", "):
+        if not depth:
+            names.append(column.split()[0])
+        depth += column.count("<") - column.count(">")
+    return Row(*names)
+
+
+def _plain(v):
+    """A value read from state, with rows as tuples: state does not take its own rows back."""
+    if isinstance(v, tuple):
+        return tuple(_plain(x) for x in v)
+    return [_plain(x) for x in v] if isinstance(v, list) else v
 
 
 class Automaton:
@@ -107,7 +119,7 @@ class InOrder(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         end = expiredTimerInfo.getExpiryTimeInMs() * 1000
         was = self.held.get()
-        s = self.automaton.begin() if was is None else tuple(was)
+        s = self.automaton.begin() if was is None else _plain(was)
         out: Out = []
         for r in self._take(end // self.slot - 1):
             s = self._fire(s, r[self.us] - 1, out)
@@ -208,6 +220,41 @@ class Sequence(Automaton):
         return ([x for x in s[0] if x[0] + self.within > t],), [(x, "timeout") for x in late]
 
 
+class Stages(Automaton):
+    """Strict sequence of rows: row i of a match has ``is_<i>`` set. Emits the rows so far and ``match``, or
+    ``timeout`` for a sequence that has not ended within ``within``. See ``operators.pattern``."""
+
+    def __init__(self, n: int, columns: list[str], types: list[str], within: int | None = None):
+        self.n, self.columns, self.within = n, columns, within
+        item = ", ".join(f"{c}: {t}" for c, t in zip(["__us", *columns], ["bigint", *types]))
+        self.state = f"open array<array<struct<{item}>>>"
+        self.output = f"events array<struct<{item}>>, tag string"
+
+    def begin(self):
+        return ([],)
+
+    def row(self, s, r):
+        item = (r["__us"], *[r[c] for c in self.columns])
+        out, still = [], []
+        for rows in [*s[0], []]:
+            if rows and self.within is not None and r["__us"] - rows[0][0] >= self.within:
+                out.append((rows, "timeout"))
+            elif r[f"is_{len(rows)}"]:
+                grown = [*rows, item]
+                if len(grown) == self.n:
+                    out.append((grown, "match"))
+                else:
+                    still.append(grown)
+        return (still,), out
+
+    def deadline(self, s):
+        return min(x[0][0] for x in s[0]) + self.within if s[0] and self.within is not None else None
+
+    def fire(self, s, t):
+        late = [x for x in s[0] if x[0][0] + self.within <= t]
+        return ([x for x in s[0] if x[0][0] + self.within > t],), [(x, "timeout") for x in late]
+
+
 class OrderTimeout(Automaton):
     """Payments as paid; a key that begins with a create and is not paid in time as timeout."""
 
@@ -317,6 +364,53 @@ class Reconcile(Automaton):
         return (None, None), [(s[0], s[1], "left_only" if s[0] is not None else "right_only")]
 
 
+class ReconcileNth(Automaton):
+    """The n-th row of one side with the n-th row of the other, matched when no more than ``timeout`` apart.
+
+    Both sides come as one tagged input, in order. A row waits with a deadline of its own; at the deadline it is
+    left over, and so is a row that comes after its partner has been. What waits is bounded by the rows of a
+    timeout; of the rest only the two counts are kept."""
+
+    state = "n_left bigint, n_right bigint, lefts array<struct<n: bigint, us: bigint>>, rights array<struct<n: bigint, us: bigint>>"
+    output = "n bigint, left_us bigint, right_us bigint, outcome string"
+
+    def __init__(self, is_left: Callable[[Row], bool], timeout: int):
+        self.is_left, self.timeout = is_left, timeout
+
+    def begin(self):
+        return (0, 0, [], [])
+
+    def row(self, s, r):
+        n_left, n_right, lefts, rights = s
+        if self.is_left(r):
+            n_left += 1
+            mine, others, n = lefts, rights, n_left
+        else:
+            n_right += 1
+            mine, others, n = rights, lefts, n_right
+        out = []
+        if others and others[0][0] == n:  # both sides are queues, so a waiting partner is the oldest
+            t = others[0][1]
+            others = others[1:]
+            left_us, right_us = (r.us, t) if self.is_left(r) else (t, r.us)
+            out.append((n, left_us, right_us, "left_first" if left_us <= right_us else "right_first"))
+        elif n <= (n_right if self.is_left(r) else n_left):  # the partner has been and gone
+            out.append((n, r.us, None, "left_only") if self.is_left(r) else (n, None, r.us, "right_only"))
+        else:
+            mine = [*mine, (n, r.us)]
+        lefts, rights = (mine, others) if self.is_left(r) else (others, mine)
+        return (n_left, n_right, lefts, rights), out
+
+    def deadline(self, s):
+        return min((q[0][1] + self.timeout for q in s[2:] if q), default=None)
+
+    def fire(self, s, t):
+        n_left, n_right, lefts, rights = s
+        out = [(n, us, None, "left_only") for n, us in lefts if us + self.timeout <= t]
+        out += [(n, None, us, "right_only") for n, us in rights if us + self.timeout <= t]
+        return (n_left, n_right, *([x for x in q if x[1] + self.timeout > t] for q in (lefts, rights))), out
+
+
 class EarlyFire(Automaton):
     """Counts of a tumbling window at every tick and, complete, at end - 1. ``tick=None`` gives the
     complete count only. Rows are in order, so one window per key is open at a time."""
@@ -467,6 +561,56 @@ def tag_late(df: DataFrame, keys: list[str], ts: str = "ts", us: str = "us") ->
     return df.drop(ts).groupBy(*keys).transformWithState(processor, output, "Append", "EventTime")
 
 
+class CountWindows(StatefulProcessor):
+    """Tumbling counts by hand: a map from window start to count, and a timer at each window's end. No row is kept."""
+
+    def __init__(self, size: int, us: str, output: str):
+        self.size, self.us, self.output = size, us, output
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.counts = handle.getMapState("counts", "start bigint", "cnt bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        new: dict[int, int] = {}
+        for r in rows:
+            start = r[self.us] - r[self.us] % self.size
+            new[start] = new.get(start, 0) + 1
+        for start, n in new.items():
+            held = self.counts.containsKey((start,))
+            self.counts.updateValue((start,), ((self.counts.getValue((start,))[0] if held else 0) + n,))
+            if not held:
+                self.handle.registerTimer((start + self.size) // 1000)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        start = expiredTimerInfo.getExpiryTimeInMs() * 1000 - self.size
+        out = [_row(self.output)(*key, start, self.counts.getValue((start,))[0])]
+        self.counts.removeKey((start,))
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
+SALTS = 32
+
+
+def count_windows(df: DataFrame, keys: list[str], size: int, ts: str = "ts", us: str = "us") -> DataFrame:
+    """Partial counts (keys, salt, window_start, cnt) of tumbling windows, at most SALTS of them a key and window, so
+    that a hot key is spread over tasks. All parts of a window leave in the same micro-batch: add them up in
+    foreachBatch with ``whole_windows``. ``size`` in whole milliseconds."""
+    salt = F.pmod(F.xxhash64(us), F.lit(SALTS)).cast("int").alias("salt")
+    output = f"{_columns(df, keys)}, salt int, window_start bigint, cnt bigint"
+    salted = df.select(*keys, ts, us, salt).groupBy(*keys, "salt")
+    return salted.transformWithState(CountWindows(size, us, output), output, "Append", "EventTime")
+
+
+def whole_windows(parts: DataFrame, keys: list[str], size: int) -> DataFrame:
+    whole = parts.groupBy(*keys, "window_start").agg(F.sum("cnt").alias("cnt"))
+    return whole.select(*keys, "window_start", (F.col("window_start") + F.lit(size)).alias("window_end"), "cnt")
+
+
 class LateWindow(StatefulProcessor):
     """One tumbling window per key (the key includes its end): first firing, one more firing per
     row late by no more than ``lateness``, a side output for rows later than that."""
