@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import join_small, stored, table
+from tidemark.llm.common import join_small, numbered, stored, table
 from tidemark.llm.queries import add
 
 CHUNK_TOKENS = 1 << 20
@@ -133,20 +133,6 @@ def tiled_counts(left: np.ndarray, right: np.ndarray, tile: int = TILE, dense: i
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _ranked(df: DataFrame, by: list[Column], label: str) -> DataFrame:
-    """``df`` with a number ``id`` from 0 in the order ``by``: partitions by range, numbered inside, and the
-    sizes of earlier partitions added. What the driver sees is a row per partition."""
-    shift = 1 << 33
-    ordered = df.repartitionByRange(*by).sortWithinPartitions(*by)
-    placed = stored(ordered.withColumn("at", F.monotonically_increasing_id()), label)
-    part = F.expr(f"at div {shift}").cast("bigint")
-    sizes = sorted(placed.groupBy(part.alias("part")).count().collect())
-    before = np.concatenate(([0], np.cumsum([r["count"] for r in sizes])))[:-1].tolist()
-    bases = df.sparkSession.createDataFrame([(r["part"], b) for r, b in zip(sizes, before)], "part bigint, base bigint")
-    numbered = placed.withColumn("part", part).join(F.broadcast(bases), "part")
-    return numbered.withColumn("id", F.col("at") - F.col("part") * shift + F.col("base")).drop("part", "at", "base")
-
-
 _PAIR = "left bigint, right bigint, n bigint"
 
 
@@ -222,11 +208,11 @@ def phrases(docs: DataFrame, least: int = 10, top: int = 2000, chunk_tokens: int
     words = words.select("home", "lang", F.col("pos").cast("bigint").alias("pos"), F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     frequent = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
-    ranked = _ranked(frequent, [F.col("lang"), F.desc("f"), F.col("word")], "words")
+    ranked = numbered(frequent, [F.col("lang"), F.desc("f"), F.col("word")], "words")
     texts = stored(_numbered(chunks, words.join(ranked.select("lang", "word", "id"), ["lang", "word"])), "ranks")
 
     counted = stored(_pairs_of(texts), "pairs")
-    pairs = stored(_ranked(_frequent(counted, least), [F.desc("a"), F.col("left"), F.col("right")], "frequent"), "ranked")
+    pairs = stored(numbered(_frequent(counted, least), [F.desc("a"), F.col("left"), F.col("right")], "frequent"), "ranked")
     located = join_small(counted.drop("n"), pairs.select("left", "right", "id"), ["left", "right"])
     triples = stored(_frequent(_triples_of(texts, located), least), "triples")
     return _best(ranked, pairs, triples, totals, top)

@@ -30,6 +30,20 @@ def join_small(left: DataFrame, right: DataFrame, on: list[str], how: str = "inn
     return left.join(F.broadcast(right) if small else right, on, how)
 
 
+def numbered(df: DataFrame, by: list, label: str) -> DataFrame:
+    """``df`` stored with a number ``id`` from 0 in the order ``by``: partitions by range, numbered inside, and
+    the sizes of earlier partitions added. What the driver sees is a row per partition."""
+    shift = 1 << 33
+    ordered = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    placed = stored(ordered.withColumn("at", F.monotonically_increasing_id()), label)
+    part = F.expr(f"at div {shift}").cast("bigint")
+    sizes = sorted(placed.groupBy(part.alias("part")).count().collect())
+    before = np.concatenate(([0], np.cumsum([r["count"] for r in sizes])))[:-1].tolist()
+    bases = df.sparkSession.createDataFrame([(r["part"], b) for r, b in zip(sizes, before)], "part bigint, base bigint")
+    numbered = placed.withColumn("part", part).join(F.broadcast(bases), "part")
+    return numbered.withColumn("id", F.col("at") - F.col("part") * shift + F.col("base")).drop("part", "at", "base")
+
+
 # ---------------------------------------------------------------- words of many texts at once
 
 _MULT = 0x9E3779B97F4A7C15  # odd, hence invertible modulo 2^64

@@ -2,8 +2,10 @@
 encoded once and remembered.
 
 A piece between spaces is encoded alike wherever it stands, because the tokenizers below never build
-a token across the borders that their pattern cuts at. Texts with any white space other than space
-and newline, where the libraries' ideas of white space differ, are encoded as a whole.
+a token across the borders that their pattern cuts at. For the same reason signs behind a letter are encoded
+apart from it, so that a word is encoded once and not with every sign that may follow. Texts with any white
+space other than space and newline, where the libraries' ideas of white space differ, and texts that hold one
+of the file's own marks (such as an end of text) are encoded as a whole.
 """
 
 from __future__ import annotations
@@ -24,8 +26,9 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 DROPS_SPACE = r"[^ \n]+"
 KEEPS_SPACE = r"[ \n]?[^ \n]+|[ \n]+(?![^ \n])"
 
-_ODD = re.compile(r"[^\S \n]")
-REMEMBERED = 900_000  # pieces kept per worker, about 200 bytes each
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII signs but the apostrophe, which may belong to letters
+REMEMBERED = 160 << 20  # bytes of pieces, ids and their places that a worker keeps
+_OVERHEAD = 170  # bytes that a piece takes besides its letters and ids
 _LONGEST = 80  # longer pieces are not remembered
 
 
@@ -38,13 +41,19 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         self.code = "H" if self.dtype == "<u2" else "I"
         assert sys.byteorder == "little"  # as every platform that Spark supports, bar one
         self.cut, self.splits = re.compile(cut), cut == DROPS_SPACE
-        self.known: dict[str, bytes] = {}
-        self.again: set[str] = set()  # pieces that came in more than one run of texts
+        marks = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = re.compile("|".join([r"[^\S \n]", *marks]))
+        self.known: dict[str, bytes] = {}  # filled up to half the memory, then it becomes ``before``
+        self.before: dict[str, bytes] = {}
+        self.size = 0
+        named = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.edge = np.zeros(max(named.values()) + 1, dtype=bool)  # tokens at which a word ends, or begins
+        for token, number in named.items():
+            self.edge[number] = token.endswith("</w>") if self.splits else token.startswith("Ġ")
 
     @classmethod
     def of(cls, path: str, cut: str) -> "Encoder":
@@ -60,29 +69,71 @@ class Encoder:
         """The ids of every text (null: none), each followed by ``end``, as bytes of ``dtype``."""
         out: list[bytes] = []
         last = np.array([end], dtype=self.dtype).tobytes()
-        for a, b in batches(texts, 4 << 20):
+        for a, b in batches(texts, 2 << 20):
             out += [x + last for x in self._some(texts[a:b])]
         return out
 
+    def _joined(self, words: list[str]) -> list[bytes] | None:
+        """Ids of many words by one call of the library. Words are one piece of letters each, so the tokens
+        tell where a word begins (or ends, where the file marks ends); None if they do not."""
+        found = np.array(self.tokenizer.encode("".join(words) if not self.splits else " ".join(words), add_special_tokens=False).ids, dtype=self.dtype)
+        edges = np.flatnonzero(self.edge[found])
+        if len(edges) != len(words):
+            return None
+        starts = [0, *(edges[:-1] + 1).tolist()] if self.splits else edges.tolist()
+        raw, width = found.tobytes(), found.itemsize
+        return [raw[width * a : width * b] for a, b in zip(starts, [*starts[1:], len(found)])]
+
+    def _learn(self, now: set[str]) -> None:
+        """Have the ids of all pieces of ``now`` at hand. What was not needed since the memory was half full goes first."""
+        if self.size > REMEMBERED // 2:
+            self.before, self.known, self.size = self.known, {}, 0
+        known, before = self.known, self.before
+        pieces = now.difference(known)
+        word_of, parts = {}, set()
+        for p in pieces:
+            if p not in before:
+                word = p.rstrip(_SIGNS)
+                if len(word) < len(p) and word[-1:].isalpha():
+                    word_of[p] = word
+                    parts.add(word)
+                    parts.add(p[len(word) :])
+                else:
+                    parts.add(p)
+        found = {p: before[p] for p in pieces.difference(word_of).intersection(before)}
+        new = [p for p in parts if p not in known and p not in before]
+        plain = str.isalpha if self.splits else (lambda p: p[0] == " " and p[1:].isalpha())
+        words, others = [p for p in new if plain(p)], [p for p in new if not plain(p)]
+        for at in range(0, len(words), 500):
+            part = words[at : at + 500]
+            ids = self._joined(part)
+            if ids is None:
+                others += part
+            else:
+                found.update(zip(part, ids))
+        for at in range(0, len(others), 20_000):
+            part = others[at : at + 20_000]
+            found.update(zip(part, self._plain(part)))
+
+        def look(p: str) -> bytes:
+            return found[p] if p in found else known[p] if p in known else before[p]
+
+        for p, word in word_of.items():
+            signs = p[len(word) :]
+            found[p] = look(word) + look(signs)
+        known.update(found)
+        self.size += sum(_OVERHEAD + len(p) + len(ids) for p, ids in found.items())
+
     def _some(self, texts: list[str | None]) -> list[bytes]:
-        odd = [t is not None and _ODD.search(t) is not None for t in texts]
+        odd = [t is not None and self.odd.search(t) is not None for t in texts]
         if self.splits:
             pieces = [[] if t is None or o else t.split() for t, o in zip(texts, odd)]
         else:
             pieces = [[] if t is None or o else self.cut.findall(t) for t, o in zip(texts, odd)]
         now = set().union(*pieces)
-        new = list(now.difference(self.known))
-        self.again |= now.difference(new)
-        if len(self.known) + len(new) > REMEMBERED:
-            kept = self.again if len(self.again) <= REMEMBERED // 2 else self.again & now
-            self.known, self.again = {p: self.known[p] for p in kept}, set()
-        known, extra = self.known, {}
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for p, ids in zip(part, self._plain(part)):
-                (known if len(p) <= _LONGEST else extra)[p] = ids
-        look = {**known, **extra} if extra else known
-        out = [b"".join(map(look.__getitem__, p)) for p in pieces]
+        if not now <= self.known.keys():
+            self._learn(now)
+        out = [b"".join(map(self.known.__getitem__, p)) for p in pieces]
         for i, t in enumerate(texts):
             if odd[i]:
                 out[i] = self._plain([t])[0]

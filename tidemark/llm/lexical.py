@@ -36,7 +36,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import numbered, stored, table
 from tidemark.llm.queries import add
 
 # Bytes of a UTF-8 text: letters and digits of ASCII, and everything beyond ASCII.
@@ -177,10 +177,9 @@ def ranked(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
 
     ``docs(doc_id, text)`` and ``items(item_id, text)``; see the head of the module."""
     spark = docs.sparkSession
-    named = items.select("item_id", F.col("text").cast("string").alias("text")).repartitionByRange("item_id")
-    numbered = stored(named.sortWithinPartitions("item_id", "text").withColumn("item", F.monotonically_increasing_id()), "items")
-    edges = _block_edges(numbered)
-    found = [_block(docs, numbered.filter(F.col("item").between(a, b)), k) for a, b in edges]
+    named = items.select("item_id", F.col("text").cast("string").alias("text"))
+    asked = stored(numbered(named, ["item_id", "text"], "items").withColumnRenamed("id", "item"), "numbered")
+    found = [_block(docs, asked.filter(F.col("item").between(a, a + BLOCK_ITEMS - 1)), k) for a in range(0, asked.count(), BLOCK_ITEMS)]
     if not found:
         return spark.createDataFrame([], f"item_id {items.schema['item_id'].dataType.simpleString()}, rank int, doc_id bigint, score bigint")
     rows = found[0]
@@ -188,19 +187,7 @@ def ranked(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
         rows = rows.unionByName(more)
     order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     best = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return best.join(numbered.select("item", "item_id"), "item").select("item_id", "rank", "doc_id", "score")
-
-
-def _block_edges(numbered: DataFrame) -> list[tuple[int, int]]:
-    """First and last number of every block. ``item`` is the partition times 2^33 and a count, so blocks
-    follow from the counts per partition."""
-    shift = 1 << 33
-    sizes = numbered.groupBy(F.expr(f"item div {shift}").alias("part")).count().collect()
-    return [
-        (r["part"] * shift + a, r["part"] * shift + min(a + BLOCK_ITEMS, r["count"]) - 1)
-        for r in sorted(sizes, key=lambda r: r["part"])
-        for a in range(0, r["count"], BLOCK_ITEMS)
-    ]
+    return best.join(asked.select("item", "item_id"), "item").select("item_id", "rank", "doc_id", "score")
 
 
 def _block(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
