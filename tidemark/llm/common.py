@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.functions import storage
 from tidemark.session import new_scratch
 
 # A side of a join is broadcast up to this many rows (of a few numbers each); beyond it both sides are shuffled.
@@ -20,7 +21,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     lost executor costs a read of that table and nothing else."""
     path = new_scratch(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def finished(*tables: DataFrame) -> None:
+    """Delete ``stored`` tables that nothing will read again."""
+    for df in tables:
+        if path := getattr(df, "scratch", None):
+            storage.delete(df.sparkSession, path)
 
 
 def join_small(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:

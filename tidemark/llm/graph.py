@@ -2,9 +2,47 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import finished, stored
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links from every node to the smallest one it reaches through the given links."""
+    nodes, index = np.unique(np.concatenate((a, b)), return_inverse=True)
+    u, v = index[: len(a)], index[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        least = root.copy()
+        np.minimum.at(least, u, root[v])
+        np.minimum.at(least, v, root[u])
+        least = least[least]
+        if (least == root).all():
+            break
+        root = least
+    far = root != np.arange(len(nodes))
+    return nodes[far], nodes[root[far]]
+
+
+LINKS_PER_TASK = 500_000
+
+
+def thinned(links: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` that reach the same nodes as the given ones: every task keeps those from its nodes to the
+    smallest one that they reach there, fewer than it has nodes. ``links`` should be cheap to count."""
+    tasks = -(-links.count() // LINKS_PER_TASK) or 1
+
+    def thin(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = [p.to_numpy(np.int64) for p in parts]
+        rows = np.concatenate(found) if found else np.empty((0, 2), np.int64)
+        a, b = forest(rows[:, 0], rows[:, 1])
+        yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
+
+    return links.select("a", "b").repartition(tasks).mapInPandas(thin, "a bigint, b bigint")
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -21,7 +59,8 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if not before[0]:
             break
-        links = stored(_small_star(_large_star(links)), "links")
+        older, links = links, stored(_small_star(_large_star(links)), "links")
+        finished(older)
         now = _mark(links)
         if now == before:
             break

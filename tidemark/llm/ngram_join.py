@@ -13,11 +13,14 @@ A document is the set of its distinct five-word shingles (64-bit hashes); two do
    as large as the corpus, and it is shuffled once.
 3. Partition: every set is compared with a few pivots of the shingles it shares; what links is one
    component, so the copies of one text need no pairs among themselves.
-4. Token-group matrix: components are cut into groups of at most GROUP sets; the matrix holds which
-   prefix shingles a group has. A set asks the groups of other components that share one with it. The
-   overlap of a set with the union of a group bounds its overlap with any member, so only groups with
-   ``|Q & union| >= 3/4 |Q|`` are opened and compared set by set. Whatever is missing from step 3
-   is found here, so the components do not depend on the pivots.
+4. Token-group matrix: similar sets, linked or not, are put into groups: those whose most common shared
+   shingle is the same (a passage, or the text that copies were made of) and that are about as large,
+   GROUP at a time. The matrix holds which prefix shingles a group's sets have. A set asks the groups of its
+   own number and above that share one with it; its overlap with the union of a group bounds its overlap
+   with any member, so only groups with ``|Q & union| >= 3/4 |Q|`` are opened and compared set by set.
+   Whatever is missing from step 3 is found here, so the components do not depend on the pivots.
+
+Links leave a task as a forest over its nodes, so components are found from about as many links as nodes.
 
 Words are runs of bytes other than the six ASCII spaces, A-Z lowered. Defined cases: with fewer than
 five words the whole sequence is the one shingle; a null text or one without words has none and links
@@ -35,8 +38,8 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import Words, batches, join_small, mix, stored, table
-from tidemark.llm.graph import components
+from tidemark.llm.common import Words, batches, finished, join_small, mix, stored, table
+from tidemark.llm.graph import components, thinned
 from tidemark.llm.queries import add
 
 WIDTH = 5
@@ -154,7 +157,9 @@ def _shared_tokens(reps: DataFrame, ranks: np.ndarray) -> DataFrame:
     left = join_small(shared.filter("early"), enough, ["node"])
     ends = left.withColumns({"least": F.min("node").over(same), "most": F.max("node").over(same)})
     # linked sets share one of their first n - ceil(3 n / 4) + 1; the others have done their work
-    return stored(ends.filter("least < most").select("token", "node", "n"), "early-tokens")
+    early = stored(ends.filter("least < most").select("token", "node", "n"), "early-tokens")
+    finished(shared, enough)
+    return early
 
 
 def _fits(n: Column, m: Column) -> Column:
@@ -199,53 +204,69 @@ def _sets(reps: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _opened(queries: DataFrame, members: DataFrame, sets: DataFrame, label: str) -> DataFrame:
-    """Links ``(a, b)`` of ``queries(node, gid)`` with a member of ``members(gid, node)``, one per query
-    and group at least if there is any. A group's sets are held by a task, its queries stream by."""
+    """Links ``(a, b)`` of ``queries(node, component, gid)`` with sets of ``members(gid, node, component)``, as many as
+    join all that link there. A group's sets are held by a task, its queries stream by."""
     load = queries.groupBy("gid").agg(F.ceil(F.count("*") / QUERIES_PER_TASK).cast("int").alias("tasks"))
-    asked = queries.join(load, "gid").select("gid", F.pmod(F.xxhash64("node"), F.col("tasks")).cast("int").alias("salt"), F.lit(1).alias("asks"), "node")
-    held = members.join(load, "gid").select("gid", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("salt"), F.lit(0).alias("asks"), "node")
-    rows = asked.union(held).join(sets, "node").select("gid", "salt", "asks", "node", "tokens")
+    row = [F.lit(1).alias("asks"), "node", "component"]
+    asked = queries.join(load, "gid").select("gid", F.pmod(F.xxhash64("node"), F.col("tasks")).cast("int").alias("salt"), *row)
+    row = [F.lit(0).alias("asks"), "node", "component"]
+    held = members.join(load, "gid").select("gid", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("salt"), *row)
+    rows = asked.union(held).join(sets, "node").select("gid", "salt", "asks", "node", "component", "tokens")
     dealt = rows.repartition("gid", "salt").sortWithinPartitions("gid", "salt", "asks", "node")
 
     def compare(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, inside, union = None, [], None
+        group, inside, union, joined = None, [], None, {}
+
+        def root(x: int) -> int:
+            while joined.get(x, x) != x:
+                joined[x] = x = joined.get(joined[x], joined[x])
+            return x
+
         for part in parts:
             a, b = [], []
-            for gid, salt, asks, node, tokens in zip(*(part[c] for c in part.columns)):
+            for gid, salt, asks, node, component, tokens in zip(*(part[c] for c in part.columns)):
                 if (gid, salt) != group:
-                    group, inside, union = (gid, salt), [], None
+                    group, inside, union, joined = (gid, salt), [], None, {}
                 s = np.frombuffer(tokens, dtype=np.uint64)
                 if not asks:
-                    inside.append((node, s))
+                    inside.append((node, component, s))
                     continue
                 if union is None:
-                    union = np.unique(np.concatenate([t for _, t in inside])) if inside else np.empty(0, np.uint64)
+                    union = np.unique(np.concatenate([t for *_, t in inside])) if inside else np.empty(0, np.uint64)
                 if len(inside) > 1 and 4 * len(np.intersect1d(s, union, assume_unique=True)) < 3 * len(s):
                     continue
-                for other, t in inside:
-                    if other != node and 4 * min(len(s), len(t)) >= 3 * max(len(s), len(t)) and similar(s, t):
+                for other, its, t in inside:
+                    if 4 * min(len(s), len(t)) >= 3 * max(len(s), len(t)) and root(component) != root(its) and similar(s, t):
+                        joined[root(component)] = root(its)
                         a.append(node)
                         b.append(other)
-                        break
             yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
     return stored(dealt.mapInPandas(compare, "a bigint, b bigint"), label)
 
 
+def _grouped(cross: DataFrame) -> DataFrame:
+    """``(node, component, gid)``: similar sets in one group. The shingle of a set that most sets share tells what
+    it is similar to; sets of one group differ in size by a third at most, beyond which nothing links."""
+    common = cross.groupBy("token").agg(F.count("*").alias("c"))
+    named = cross.join(common, "token").groupBy("node", "component", "n").agg(F.max(F.struct("c", "token"))["token"].alias("hub"))
+    named = named.withColumn("grade", F.floor(F.log(F.col("n")) / F.log(F.lit(4 / 3))))
+    sizes = named.groupBy("hub", "grade").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
+    bucket = F.pmod(F.xxhash64("node"), F.col("groups"))
+    return named.join(sizes, ["hub", "grade"]).select("node", "component", F.xxhash64("hub", "grade", bucket).alias("gid"))
+
+
 def _remaining(cross: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between different components, by the token-group matrix."""
-    members = cross.select("node", "component", "n").distinct()
-    sizes = members.groupBy("component").agg(F.count("*").alias("size"))
-    bucket = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / GROUP)).cast("int")
-    grouped = members.join(sizes, "component").select("node", "size", F.xxhash64("component", bucket).alias("gid"))
-    grouped = stored(grouped, "groups")
-    rows = cross.join(grouped, "node").select("token", "node", "n", "component", "size", "gid")
-    matrix = rows.groupBy("token", "gid", "component", "size").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    matrix = matrix.toDF("token", "group", "other", "other_size", "low", "high")
-    smaller = F.struct("size", "component") < F.struct(F.col("other_size").alias("size"), F.col("other").alias("component"))
+    grouped = stored(_grouped(cross), "groups")
+    rows = cross.join(grouped.select("node", "gid"), "node").select("token", "node", "n", "component", "gid")
+    sizes = [F.min("n").alias("low"), F.max("n").alias("high"), F.min("component").alias("first"), F.max("component").alias("last")]
+    matrix = rows.groupBy("token", F.col("gid").alias("group")).agg(*sizes)
     can = (4 * F.col("high") >= 3 * F.col("n")) & (3 * F.col("low") <= 4 * F.col("n"))
-    asked = rows.drop("gid").join(matrix, "token").filter(smaller & can).select("node", F.col("group").alias("gid")).distinct()
-    return _opened(stored(asked, "asked"), grouped.select("gid", "node"), sets, "links-of-groups")
+    others = (F.col("first") != F.col("component")) | (F.col("last") != F.col("component"))
+    asked = rows.join(matrix, "token").filter((F.col("gid") <= F.col("group")) & can & others)
+    asked = stored(asked.select("node", "component", F.col("group").alias("gid")).distinct(), "asked")
+    return _opened(asked, grouped, sets, "links-of-groups")
 
 
 def _copies(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -260,21 +281,31 @@ def _copies(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text)`` to ``(doc_id, n_shingles, component_id)``, a row each."""
     prints = _prints(docs)
-    placed, _ = _copies(prints)
+    placed, several = _copies(prints)
     placed = stored(placed, "classes")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     spare = placed.filter("doc_id <> rep").select("doc_id")
     reps = join_small(texts.filter("doc_id IS NOT NULL AND text IS NOT NULL"), spare, ["doc_id"], "left_anti")
-    shared = _shared_tokens(reps, _slot_ranks(prints))
-    sets = _sets(reps, stored(shared.select("node").distinct(), "nodes"))
+    ranks = _slot_ranks(prints)
+    finished(prints, several)
+    shared = _shared_tokens(reps, ranks)
+    nodes = stored(shared.select("node").distinct(), "nodes")
+    sets = _sets(reps, nodes)
+    finished(nodes)
     links = parts = None
     for seed in range(ROUNDS):
         pivots = _pivots(_mixed(shared, parts), seed)
-        more = _opened(pivots, pivots.select("gid", F.col("gid").alias("node")).distinct(), sets, "links-of-pivots")
+        asked = pivots.withColumn("component", F.col("node"))
+        held = pivots.select("gid", F.col("gid").alias("node"), F.col("gid").alias("component")).distinct()
+        more = _opened(asked, held, sets, "links-of-pivots")
+        finished(pivots)
         links = more if links is None else links.union(more)
         parts = stored(components(links), "parts")
-    more = _remaining(_mixed(shared, parts), sets)
-    found = stored(components(links.union(more)).toDF("rep", "component"), "components")
+    mixed = _mixed(shared, parts)
+    finished(shared)
+    more = _remaining(mixed, sets)
+    finished(sets, mixed)
+    found = stored(components(links.union(thinned(more))).toDF("rep", "component"), "components")
     out = join_small(placed, found, ["rep"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
 
