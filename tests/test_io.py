@@ -19,36 +19,72 @@ from tidemark.sources.files import events, table, text_lines, text_lines_stream
 from tidemark.streaming.run import Carried, drained, start
 
 
-def test_recorded_events_batch_has_one_task_per_row_group(spark, tmp_path):
+def recorded(tmp_path, name, first, n):
     import pyarrow as pa
     import pyarrow.parquet as pq
 
-    n = 300
+    ids = list(range(first, first + n))
     table = pa.table(
         {
-            "event_id": list(range(n)),
-            "ts": pa.array(range(n), pa.timestamp("us")),
-            "user_id": [i % 3 for i in range(n)],
+            "event_id": ids,
+            "ts": pa.array(ids, pa.timestamp("us")),
+            "user_id": [i % 3 for i in ids],
             "event_type": ["view"] * n,
             "value": [0.5] * n,
             "props": ["{}"] * n,
         }
     )
-    pq.write_table(table, tmp_path / "r.parquet", row_group_size=100)
+    pq.write_table(table, tmp_path / "r" / name, row_group_size=100)
+    return (tmp_path / "r" / name).stat().st_size
+
+
+def test_recorded_events_are_read_in_pieces(spark, tmp_path):
+    (tmp_path / "r").mkdir()
+    size = recorded(tmp_path, "a.parquet", 0, 300)
+    custom.register(spark)
+    reader = spark.read.format("recorded_events").option("path", str(tmp_path / "r"))
+    for piece in (size // 6, size // 2, size + 1):
+        df = reader.option("pieceBytes", piece).load()
+        assert df.rdd.getNumPartitions() == -(-size // piece)
+        assert rows(df, "event_id") == sorted([(i,) for i in range(300)], key=repr)
+
+
+def test_subtasks_and_copies(spark, tmp_path):
+    (tmp_path / "r").mkdir()
+    for i in range(5):
+        recorded(tmp_path, f"{i}.parquet", i * 100, 100)
+    custom.register(spark)
+    reader = spark.read.format("recorded_events").option("path", str(tmp_path / "r"))
+    own = reader.option("subtasks", 3).load()
+    assert own.rdd.getNumPartitions() == 3 and "Exchange" not in own._jdf.queryExecution().toString()
+    assert rows(own, F.floor(F.col("event_id") / 100), "subtask") == sorted([(i, i % 3) for i in range(5)] * 100, key=repr)
+    twice = spark.read.format("recorded_events").option("path", str(tmp_path / "r")).option("subtasks", 3).option("copies", 2).load()
+    assert twice.rdd.getNumPartitions() == 6
+    assert rows(twice, "event_id") == sorted([(i,) for i in range(500)] * 2, key=repr)
+    spread = spark.read.format("recorded_events").option("path", str(tmp_path / "r")).option("subtasks", 9).load()
+    assert spread.rdd.getNumPartitions() == 9 and spread.count() == 500
+
+
+def test_recorded_stream_goes_on_by_name_when_files_come(spark, tmp_path):
+    (tmp_path / "r").mkdir()
+    recorded(tmp_path, "b.parquet", 0, 50)
+    recorded(tmp_path, "c.parquet", 50, 60)
     custom.register(spark)
-    df = spark.read.format("recorded_events").option("path", str(tmp_path / "r.parquet")).load()
-    assert df.rdd.getNumPartitions() == 3
-    assert rows(df, "event_id") == sorted([(i,) for i in range(n)], key=repr)
-    stream = spark.readStream.format("recorded_events").option("path", str(tmp_path / "r.parquet")).load()
     out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
-    query = start(stream.select("event_id"), ck, out, every="100 milliseconds")
-    try:
-        query.processAllAvailable()
-        batches = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
-    finally:
-        query.stop()
-    assert spark.read.parquet(out).distinct().count() == n
-    assert batches == [100, 100, 100]
+
+    def run():
+        stream = spark.readStream.format("recorded_events").option("path", str(tmp_path / "r")).load()
+        query = start(stream.select("event_id"), ck, out, every="100 milliseconds")
+        try:
+            query.processAllAvailable()
+            return [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+        finally:
+            query.stop()
+
+    assert run() == [50, 60]
+    recorded(tmp_path, "d.parquet", 110, 70)
+    assert run() == [70]
+    assert rows(spark.read.parquet(out)) == sorted([(i,) for i in range(180)], key=repr)
 
 
 def test_text_source_batch_and_stream(spark, tmp_path):

@@ -63,6 +63,28 @@ def source_partitioned(spark, folder):
     return _partitions_of(placed, "subtask")
 
 
+def _replayed(spark, folder, **options):
+    custom.register(spark)
+    reader = spark.read.format("recorded_events").option("path", f"{folder}/events.parquet").option("pieceBytes", 1 << 16)
+    return reader.options(**options).load()
+
+
+@query("source_subtasks", "SELECT event_id, event_type, true AS mine FROM events")
+def source_subtasks(spark, folder):
+    """A partition per subtask of the source, each with its own pieces: every row once, and no shuffle."""
+    p = _parallelism(spark)
+    rows_ = _replayed(spark, folder, subtasks=p)
+    return rows_.select("event_id", "event_type", (F.spark_partition_id() == F.col("subtask")).alias("mine"))
+
+
+@query("source_copies", "SELECT event_id, event_type, copy FROM events, (VALUES (0), (1)) AS p(copy)")
+def source_copies(spark, folder):
+    """Every subtask of the source twice, each emitting the same rows."""
+    p = _parallelism(spark)
+    rows_ = _replayed(spark, folder, subtasks=p, copies=2)
+    return rows_.select("event_id", "event_type", F.floor(F.col("subtask") / p).cast("int").alias("copy"))
+
+
 @query("json_scan_parse", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def json_scan_parse(spark, folder):
     parsed = events(spark, folder).select("event_id", F.from_json("props", "k bigint").alias("p"))
