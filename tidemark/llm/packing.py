@@ -10,7 +10,8 @@ tokens; all are full but the very last one. At any point a queue is within one q
 until a queue is empty and the others go on in their proportions.
 
 The default target is every queue's share of all tokens, the only one that a single pass over the
-whole corpus can keep up to the end. Sources beyond ``max_queues - 1`` largest share the last queue.
+whole corpus can keep up to the end. The ``max_queues - 1`` largest sources and all with a target of their own have
+a queue each; others, if there are more, share the last one.
 
 Ids are written once to a scratch table; only counts (a row per partition and source) are shuffled.
 
@@ -21,6 +22,7 @@ repeated rows are packed once each; an empty table gives no rows; other columns
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import gcd
 
 import numpy as np
 import pandas as pd
@@ -42,11 +44,21 @@ class Schedule:
     def __init__(self, totals: list[int], weights: list[int], length: int, quantum: int):
         self.totals, self.weights = np.array(totals, dtype=np.int64), np.array(weights, dtype=np.int64)
         self.length, self.quantum = length, quantum
+        # quanta after k rounds: floor(k * weight * up / down), with products kept under 2^63 by division first
+        shared = gcd(length, _UNIT * quantum)
+        self.up, self.down = length // shared, _UNIT * quantum // shared
 
     def sent(self, rounds: np.ndarray) -> np.ndarray:
         """Tokens that each queue has sent after so many rounds: a row per entry, a column per queue."""
-        quanta = rounds[:, None] * self.weights[None, :] * self.length // (_UNIT * self.quantum)
-        return np.minimum(quanta * self.quantum, self.totals[None, :])
+        whole, rest = np.divmod(rounds[:, None], self.down)
+        rate = self.weights[None, :] * self.up
+        return np.minimum((whole * rate + rest * rate // self.down) * self.quantum, self.totals[None, :])
+
+    def _round_of(self, queue: np.ndarray, quantum: np.ndarray) -> np.ndarray:
+        """The round that sends a queue's quantum: the first k with floor(k * rate / down) > quantum."""
+        rate = self.weights[queue] * self.up
+        whole, rest = np.divmod(quantum + 1, rate)
+        return whole * self.down + -(-rest * self.down // rate)
 
     def place(self, queue: np.ndarray, quantum: np.ndarray) -> np.ndarray:
         """Position in the joint stream of the first token of a queue's quantum."""
@@ -54,7 +66,7 @@ class Schedule:
         step = max(1, (1 << 21) // max(1, len(self.totals)))
         for a in range(0, len(queue), step):
             q, j = queue[a : a + step], quantum[a : a + step]
-            rounds = -(-(j + 1) * _UNIT * self.quantum // (self.weights[q] * self.length))
+            rounds = self._round_of(q, j)
             before, after = self.sent(rounds - 1), self.sent(rounds)
             earlier = np.arange(len(self.totals))[None, :] < q[:, None]
             row = np.arange(len(q))
@@ -116,7 +128,7 @@ def pack(
     length: int = 1024,
     quantum: int = 256,
     targets: dict[str | None, float] | None = None,
-    max_queues: int = 256,
+    max_queues: int = 4096,
 ) -> DataFrame:
     """Pieces of all documents with their sequence and offset; ids as little-endian uint32.
 
@@ -124,24 +136,23 @@ def pack(
     encoded = _encoded(docs, tokenizer, end, cut)
     sums = encoded.groupBy("part", "source").agg(F.sum("n").alias("n"))
     by_source = sums.groupBy("source").agg(F.sum("n").alias("n"))
-    largest = by_source.orderBy(F.desc("n"), "source").limit(max_queues - 1).collect()
     total = by_source.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    names, totals = [r["source"] for r in largest], [r["n"] for r in largest]
-    names, totals = names + [None], totals + [total - sum(totals)]
-    shares = [n / max(1, total) for n in totals]
-    for source, share in (targets or {}).items():
-        named = "null" if source is None else f"={source}"
-        if named in names:
-            shares[names.index(named)] = share
+    wanted = {"null" if source is None else f"={source}": share for source, share in (targets or {}).items()}
+    chosen = by_source.filter(F.col("source").isin(*wanted)).collect() if wanted else []
+    largest = by_source.filter(~F.col("source").isin(*wanted)) if wanted else by_source
+    chosen += largest.orderBy(F.desc("n"), "source").limit(max(0, max_queues - 1 - len(chosen))).collect()
+    chosen.sort(key=lambda r: (-r["n"], r["source"]))
+    names, totals = [r["source"] for r in chosen] + [None], [r["n"] for r in chosen]
+    totals.append(total - sum(totals))
+    shares = [wanted.get(name, n / max(1, total)) for name, n in zip(names, totals)]
     weights = [max(1, round(_UNIT * s / (sum(shares) or 1))) for s in shares]
     schedule = Schedule(totals, weights, length, quantum)
 
-    queue = F.lit(len(names) - 1)
-    if len(names) > 1:
-        number = F.create_map(*[F.lit(x) for i, s in enumerate(names[:-1]) for x in (s, i)])
-        queue = F.coalesce(F.try_element_at(number, F.col("source")), queue)
+    numbers = docs.sparkSession.createDataFrame(list(zip(names[:-1], range(len(names)))), "source string, queue int")
+    queue = F.coalesce("queue", F.lit(len(names) - 1)).alias("queue")
+    placed = sums.join(F.broadcast(numbers), "source", "left").select("part", "source", "n", queue)  # max_queues rows
     earlier = Window.partitionBy("queue").orderBy("part", "source").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.withColumn("queue", queue).select(
+    bases = placed.select(
         "part", "source", "queue", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base")
     )
 
