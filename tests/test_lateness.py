@@ -11,7 +11,7 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from tidemark.functions import storage
-from tidemark.operators import pattern, watermarks, window_functions
+from tidemark.operators import distinct, pattern, watermarks, window_functions
 from tidemark.operators.pattern import Pattern
 from tidemark.sinks.versioned import MOST_CHANGES, VersionedTable
 from tidemark.streaming import stateful as st, triggers
@@ -284,3 +284,20 @@ def test_count_windows_keep_no_rows():
     assert seen == {(0,): (3000,), (10_000,): (3000,), (20_000,): (3000,)} and timers == [10, 20, 30]
     info = type("I", (), {"getExpiryTimeInMs": lambda self: 10})()
     assert [tuple(r) for r in p.handleExpiredTimer(("a", 1), None, info)] == [("a", 1, 0, 3000)] and len(seen) == 2
+
+
+# ---------------------------------------------------------------- bit sets
+
+
+def test_bit_sets_never_count_too_many_and_merge(spark):
+    n = 60_000
+    df = spark.range(3 * n).select((F.col("id") % n).alias("who"), F.lit("x").alias("k"))
+    sets = distinct.bloom_sets(df, [F.col("k")], "who", expected=n, error=0.01)
+    got = distinct.bloom_count(sets, 1).first()["uv"]
+    assert 0.985 * n <= got <= n
+    halves = [distinct.bloom_sets(df.filter(F.col("who") % 2 == r), [F.col("k")], "who", expected=n, error=0.01) for r in (0, 1)]
+    assert distinct.bloom_count(halves[0].unionByName(halves[1]), 1).first()["uv"] == got
+    assert sets.select(F.length("bits")).distinct().collect() == [(4096,)]
+    crowded = distinct.bloom_count(distinct.bloom_sets(df, [F.col("k")], "who", expected=1000, error=0.01), 1).first()["uv"]
+    assert crowded <= distinct.bloom_bits(1000, 0.01) < n
+    assert distinct.bloom_sets(df.filter("who < 0"), [F.col("k")], "who").count() == 0

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.clock import DAY, HOUR
 from tidemark.operators import distinct, topn, window_functions, windows
 from tidemark.plans.registry import query
-from tidemark.sources.files import events, item
+from tidemark.sources.files import events, item, table
 
 
 def _views(spark, folder):
@@ -190,6 +190,26 @@ def uv_approx(spark, folder):
     return distinct.uv_sketch_checked(_views(spark, folder), DAY, "user_id")
 
 
+@query("uv_bloom", UV_SQL % ", true AS never_over, true AS within_error")
+def uv_bloom(spark, folder):
+    """Visitors per day from bit sets, next to the exact number."""
+    df = _views(spark, folder)
+    start = F.window("ts", "1 day")["start"]
+    keys = [F.unix_micros(start), F.unix_micros(start) + F.lit(DAY)]
+    return distinct.uv_bloom_checked(df, keys, ["window_start", "window_end"], "user_id")
+
+
+@query(
+    "bloom_distinct_lines",
+    """SELECT l_linestatus AS status, count(DISTINCT l_orderkey * 8 + l_linenumber) AS uv, true AS never_over, true AS within_error
+    FROM lineitem GROUP BY 1""",
+)
+def bloom_distinct_lines(spark, folder):
+    """Many ids per key: the lines of an order status, in a bit set for 400,000."""
+    lines = table(spark, folder, "lineitem").select("l_linestatus", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line"))
+    return distinct.uv_bloom_checked(lines, [F.col("l_linestatus")], ["status"], "line", expected=400_000)
+
+
 @query(
     "sql_rename_view",
     'WITH {E} SELECT u AS "user", t AS url, us AS "cTime" FROM e',
