@@ -153,6 +153,10 @@ def test_toxicity_held_out(spark, folder):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and r.predicted == int(r.score >= 0.3) for r in found)
     clean = [r.predicted for r in found if told.get(r.doc_id) == 0]
     assert sum(clean) <= 0.05 * len(clean)
+    folder = "/root/testdata/sf0.1"
+    toxic = {r.doc_id for r in spark.read.parquet(f"{folder}/labels.parquet").filter("toxic = 1").collect()}
+    held = [r for r in QUERIES["op6_toxicity"](spark, folder).collect() if r.held_out and r.doc_id in toxic]
+    assert len(held) >= 100 and sum(r.predicted for r in held) >= 0.9 * len(held)
 
 
 def test_nnpu_learns_from_positives_and_unlabelled():

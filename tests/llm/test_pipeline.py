@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
-from cases import no_docs, odd_docs
+from cases import DOCS, no_docs, odd_docs
+from pyspark.sql import functions as F
 from test_duplicates import brute
 
 import corpus_pipeline
@@ -53,3 +56,24 @@ def test_odd_rows_pass(spark, folder):
     empty = no_docs(spark)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, folder).count() == 0
+
+
+def test_first_stage_rejects_what_is_in_no_language(spark, folder):
+    rng = random.Random(1)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    junk = {
+        -1: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(60)),
+        -2: " ".join("".join(rng.choice("0123456789abcdef") for _ in range(32)) for _ in range(20)),
+        -3: "".join(rng.choice(letters.upper() + letters + "0123456789+/") for _ in range(600)),
+        -4: "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. " * 5,
+        -5: "Все люди рождаются свободными и равными в своем достоинстве и правах. " * 4,
+        -6: "for (int i = 0; i < n; i++) { sum += a[i] * b[i]; } " * 6,
+    }
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    more = spark.createDataFrame([(i, t, None, "junk", len(t)) for i, t in junk.items()], DOCS)
+    more = more.select(*[F.col(f.name).cast(f.dataType) for f in docs.schema])
+    short = spark.createDataFrame([(-10, "The of and to the", None, "short", 17)], DOCS).select(more.columns)
+    short = short.select(*[F.col(f.name).cast(f.dataType) for f in docs.schema])
+    kept = corpus_pipeline.by_language(spark, docs.unionByName(more).unionByName(short), folder)
+    assert {r.doc_id for r in kept.filter("doc_id < 0").select("doc_id").collect()} == {-10}
+    assert kept.filter("doc_id >= 0").count() == docs.count()
