@@ -114,9 +114,10 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[float]:
     return [round(log_p(1, t) - log_p(0, t), 4) for t in range(_ALPHABET**2)]
 
 
-def spans(text: Column, ratios: list[float], margin: float = MARGIN) -> Column:
-    """All spans of a text that is not null: those of the patterns, and random runs outside of them."""
-    base = base_spans(text)
+def with_spans(docs: DataFrame, ratios: list[float], margin: float = MARGIN) -> DataFrame:
+    """``docs(text, ...)`` with ``__spans``: those of the patterns, and random runs outside of them. The former are a
+    column of their own (dropped again), which several expressions read, so Spark finds them once a text."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # a constant, folded once into an array: the ratios as one literal
     ratio = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<double>")
 
@@ -125,20 +126,20 @@ def spans(text: Column, ratios: list[float], margin: float = MARGIN) -> Column:
         total = F.aggregate(moves, F.lit(0.0), lambda acc, t: acc + F.get(ratio, t))
         return total >= F.size(moves) * F.lit(margin)
 
+    base = F.col("__base")
     runs = F.filter(_outside(_spans(text, RUN, 3), base), lambda s: is_random(s["value"]))
-    return F.sort_array(F.concat(base, runs))
+    found = docs.withColumn("__base", base_spans(text))
+    return found.withColumn("__spans", F.sort_array(F.concat(base, runs))).drop("__base")
 
 
 def scan(docs: DataFrame, ratios: list[float], margin: float = MARGIN) -> DataFrame:
     """``(doc_id, spans)`` of every row."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select("doc_id", text.alias("text")).select("doc_id", spans(F.col("text"), ratios, margin).alias("spans"))
+    return with_spans(docs.select("doc_id", "text"), ratios, margin).select("doc_id", F.col("__spans").alias("spans"))
 
 
 def redact(docs: DataFrame, ratios: list[float], margin: float = MARGIN, mark: str = "[SECRET]") -> DataFrame:
     """The documents with every secret replaced by ``mark``; a text without secrets stays as it is."""
-    text = F.col("text").cast("string")
-    found = spans(F.coalesce(text, F.lit("")), ratios, margin)
+    text, found = F.col("text").cast("string"), F.col("__spans")
     start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -150,7 +151,7 @@ def redact(docs: DataFrame, ratios: list[float], margin: float = MARGIN, mark: s
         return F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, 2_000_000_000))
 
     clean = F.when(F.size(found) > 0, F.aggregate(found, start, step, rebuilt)).otherwise(text)
-    out = docs.withColumn("text", clean)
+    out = with_spans(docs, ratios, margin).withColumn("text", clean).drop("__spans")
     return out.withColumn("n_chars", F.char_length("text").cast("bigint")) if "n_chars" in docs.columns else out
 
 
