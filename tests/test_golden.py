@@ -253,6 +253,11 @@ def test_csv_table(spark, tmp_path):
     declare_table(spark, "golden_clicks", "`user` string, url string", "csv", str(tmp_path))
     got = spark.sql("SELECT user, count(url) AS cnt FROM golden_clicks GROUP BY user")
     assert rows(got) == [("Bob", 1), ("Liz", 1), ("Mary", 2)]
+    declare_table(spark, "golden_clicks", "`user` string, url string", "csv", str(tmp_path))
+    spark.sql("CREATE TABLE golden_foreign (a int) USING csv OPTIONS ('path' '%s')" % tmp_path)
+    with pytest.raises(ValueError):
+        declare_table(spark, "golden_foreign", "b int", "csv", str(tmp_path))
+    spark.sql("DROP TABLE golden_foreign")
 
 
 def test_watermark_trace(spark):

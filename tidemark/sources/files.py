@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.functions import storage
 from tidemark.session import new_scratch
 
 TEXT_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
@@ -20,6 +21,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 # Slices of the recorded table that a stream gets one after another, a micro-batch each.
 SLICES = 8
+SLICE_FILE_BYTES = 64 << 20  # a slice is written, and read, in files of about this size
 EVENT_TIME = "unix_micros(CAST(ts AS TIMESTAMP))"
 _recorded: dict[tuple, tuple[str, int]] = {}
 
@@ -30,7 +32,8 @@ def _record(spark: SparkSession, folder: str, slices: int, order: str) -> tuple[
     key = (spark.sparkContext.applicationId, folder, slices, order)
     if key not in _recorded:
         timed, path = table(spark, folder, "events"), new_scratch(spark, "recorded")
-        files = max(1, int(spark.conf.get("spark.tidemark.filesPerSlice", "1")))
+        size = storage.sizes(spark, f"{folder}/events.parquet")
+        files = max(1, -(-size // (slices * SLICE_FILE_BYTES)))
         second = F.floor(F.expr(order) / 1_000_000).cast("bigint")
         shares = [i / slices for i in range(1, slices)]
         cuts = timed.agg(F.percentile_approx(second, shares)).first()[0] or []
@@ -79,9 +82,17 @@ def json_lines_stream(spark: SparkSession, path: str, schema, files_per_batch: i
     return reader.json(path)
 
 
+DECLARED = "tidemark.declared"
+
+
 def declare_table(spark: SparkSession, name: str, columns: str, fmt: str, path: str, **options: str) -> DataFrame:
-    """``CREATE TABLE name (columns) USING fmt`` over files at ``path``; the declaration is replaced."""
+    """``CREATE TABLE name (columns) USING fmt`` over files at ``path``. An earlier declaration made here is replaced;
+    a table of that name that somebody else made is not touched."""
     extra = "".join(f", '{k}' '{v}'" for k, v in options.items())
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt} OPTIONS ('path' '{path}'{extra})")
+    if spark.catalog.tableExists(name):
+        properties = {r["key"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+        if DECLARED not in properties:
+            raise ValueError(f"there is a table {name} already")
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt} OPTIONS ('path' '{path}'{extra}) TBLPROPERTIES ('{DECLARED}' = 'yes')")
     return spark.table(name)
