@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import storage
@@ -33,6 +37,17 @@ def finished(*tables: DataFrame) -> None:
             storage.delete(df.sparkSession, path)
 
 
+def trim_memory() -> None:
+    """Give memory that earlier tasks of this Python worker have freed back to the machine: workers are used again, and
+    the allocators would keep it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not the C library of GNU
+        pass
+
+
 def join_small(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join with a ``right`` of narrow rows: broadcast while its counted rows are at most
     BROADCAST_ROWS, a shuffled join beyond. ``right`` should be cheap to evaluate twice."""

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import join_small, table
+from tidemark.llm.common import join_small, table, trim_memory
 from tidemark.llm.encode import KEEPS_SPACE, Encoder
 from tidemark.llm.queries import add
 from tidemark.session import new_scratch
@@ -102,6 +102,7 @@ def _encoded(docs: DataFrame, tokenizer: str, end: int, cut: str) -> DataFrame:
     """Ids of every document with its place among those of its source and partition."""
 
     def encode(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trim_memory()
         encoder, before, number = Encoder.of(tokenizer, cut), {}, TaskContext.get().partitionId()
         for part in parts:
             found = encoder.encode(part.pop("text").tolist(), end)
@@ -157,6 +158,7 @@ def pack(
     )
 
     def place(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trim_memory()
         for part in parts:
             if len(part):
                 yield _placed(schedule, part)
