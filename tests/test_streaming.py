@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import json
 import os
+from types import SimpleNamespace
 
 import pytest
 from helpers import rows
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from tidemark.functions.clock import DAY, HOUR, SECOND
 from tidemark.operators import distinct, joins, patterns, windows
@@ -354,3 +355,79 @@ def test_recorded_events_come_in_many_micro_batches(spark, folder, tmp_path):
     assert len(progress) >= 8
     state = [p.stateOperators[0].numRowsTotal for p in progress]
     assert max(state) < 5 * 30  # windows that are over leave the state
+
+
+class CountingStore:
+    """State and timers of one group, as a dict that counts the calls."""
+
+    def __init__(self):
+        self.calls, self.timers = 0, set()
+
+    def state(self, *_):
+        return CountingState(self)
+
+    getValueState = getMapState = state
+
+    def registerTimer(self, t):
+        self.calls += 1
+        self.timers.add(t)
+
+    def deleteTimer(self, t):
+        self.calls += 1
+        self.timers.remove(t)
+
+
+class CountingState:
+    def __init__(self, store):
+        self.store, self.kept = store, {}
+
+    def get(self):
+        return self.getValue(())
+
+    def getValue(self, k):
+        self.store.calls += 1
+        return self.kept.get(k)
+
+    def update(self, v):
+        self.updateValue((), v)
+
+    def updateValue(self, k, v):
+        self.store.calls += 1
+        self.kept[k] = v
+
+    def clear(self):
+        self.removeKey(())
+
+    def removeKey(self, k):
+        self.store.calls += 1
+        self.kept.pop(k, None)
+
+
+@pytest.mark.parametrize("rows_of_a_page", [20_000, 700])
+def test_state_calls_do_not_grow_with_slots_and_keys(spark, tmp_path, monkeypatch, rows_of_a_page):
+    """3,000 rows of 60 keys, each in a slot of its own, in three micro-batches that are not in order of time."""
+    monkeypatch.setattr(st.InOrder, "PAGE_ROWS", rows_of_a_page)
+    kept = []
+    monkeypatch.setattr(st.InOrder, "__init__", lambda self, *a, init=st.InOrder.__init__: (init(self, *a), kept.append(self))[0])
+    st.in_order(history(spark, tmp_path, [("a", "fail", 1)]), ["k"], st.ElementTimers(90 * S))
+    processor, store = kept[0], CountingStore()
+    processor.init(store)
+    make = Row("k", "type", "us", "ts")
+    data = [make(f"k{i % 60}", "fail", i * S, None) for i in range(3000)]
+    found = []
+    for batch in range(3):
+        part = data[batch * 1000 : batch * 1000 + 1000]
+        values = SimpleNamespace(getCurrentWatermarkInMs=lambda b=batch: max(0, b * 1_000_000 - 500))
+        list(processor.handleInputRows((0,), iter(part[::-1]), values))
+        found += expired(processor, store, values)
+    found += expired(processor, store, SimpleNamespace(getCurrentWatermarkInMs=lambda: 9_000_000))
+    assert sorted(tuple(r) for r in found) == sorted((r.k, r.us + 90 * S) for r in data)
+    assert store.calls < 150 and not store.timers and not any(s.kept for s in (processor.waiting, processor.blocks, processor.held))
+
+
+def expired(processor, store, values):
+    found = []
+    for t in sorted(x for x in store.timers if x <= values.getCurrentWatermarkInMs()):
+        found += processor.handleExpiredTimer((0,), values, None)
+        store.timers.remove(t)
+    return found

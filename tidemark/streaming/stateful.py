@@ -5,9 +5,11 @@ automaton in event-time order, together with the deadlines the automaton asked f
 does not depend on how rows were split into micro-batches and equals the batch form. Clock rule:
 before a row at time t, every deadline earlier than t has fired; a deadline at exactly t has not.
 
-Waiting rows are kept per key and time slot, in pages, and a slot is loaded, ordered and worked off
-when the watermark passes its end. What Python holds at once is one page of input or one slot of one
-key, not the history of a key; choose the slot to suit the busiest key.
+Keys go in ``GROUPS`` groups by their hash. A group is visited once per micro-batch for its rows and once, by its one
+timer, when the watermark has passed the end of a time slot with a row or a deadline; then all slots that are over
+are worked off, in order of time. A few waiting rows are one value of state; more are sorted page by page into runs,
+cut into blocks, and merged block by block. What Python holds at once is one page of input, or one block of every run
+and the automata of one group, not the rows of a key.
 
 An automaton is a few lines: its state as a tuple, what a row does, what a deadline does.
 Times are microseconds; Spark's timers and watermarks are milliseconds.
@@ -15,10 +17,14 @@ Times are microseconds; Spark's timers and watermarks are milliseconds.
 
 from __future__ import annotations
 
+import heapq
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from operator import itemgetter
 
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
 
 from tidemark.functions.clock import SECOND
 
@@ -46,6 +52,16 @@ def _plain(v):
     return [_plain(x) for x in v] if isinstance(v, list) else v
 
 
+_NAN = float("nan")
+
+
+def _frozen(v):
+    """A key as Spark groups by it, fit for a dict: arrays as tuples, and NaN equal to itself."""
+    if isinstance(v, (list, tuple)):
+        return tuple(_frozen(x) for x in v)
+    return _NAN if v != v else v
+
+
 class Automaton:
     """State is a tuple with the fields of ``state``; ``begin`` gives the first one."""
 
@@ -65,83 +81,122 @@ class Automaton:
         return s, []
 
 
+class SortedRun:
+    """Ordered rows of a key in blocks of state, read block by block; what has been read is removed."""
+
+    def __init__(self, blocks, us: int, number: int, at: int, n: int, first: int):
+        self.blocks, self.us, self.number, self.at, self.n, self.first = blocks, us, number, at, n, first
+
+    def upto(self, us: int) -> Iterator[tuple]:
+        """The rows up to a time. ``first`` is then the time of the first row left."""
+        while self.first <= us and self.at < self.n:
+            rows = _plain(self.blocks.getValue((self.number, self.at))[0])
+            for i, r in enumerate(rows):
+                if r[self.us] > us:
+                    self.first = r[self.us]
+                    if i:
+                        self.blocks.updateValue((self.number, self.at), (rows[i:],))
+                    return
+                yield r
+            self.blocks.removeKey((self.number, self.at))
+            self.at += 1
+
+
 class InOrder(StatefulProcessor):
-    PAGE_ROWS = 5_000
+    PAGE_ROWS = 20_000
+    BLOCK_ROWS = 250
 
     def __init__(
-        self, automaton: Automaton, columns: list[str], schema: str, output: str, us: str, slot: int, tie: str | None
-    ):
-        self.automaton, self.columns, self.schema, self.output = automaton, columns, schema, output
-        self.us, self.slot, self.tie = us, slot, tie
+        self, automaton: Automaton, keys: list[str], columns: list[str], schema: str, state: str, output: str, us: str,
+        slot: int, tie: str | None,
+    ):
+        self.automaton, self.columns, self.schema, self.state, self.output = automaton, columns, schema, state, output
+        self.keys, self.slot, self.us = len(keys), slot, columns.index(us)
+        self.order = itemgetter(self.us, columns.index(tie)) if tie else itemgetter(self.us)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        fields = ", ".join(c.replace(" ", ": ", 1) for c in self.schema.split(", "))
-        self.pages = handle.getMapState("pages", "slot bigint, page bigint", f"waiting array<struct<{fields}>>")
-        self.counts = handle.getMapState("counts", "slot bigint", "pages bigint")  # pages of a slot so far
-        self.held = handle.getValueState("held", self.automaton.state)
+        rows, run = f"array<{self.schema}>", "struct<number: bigint, at: bigint, n: bigint, first: bigint>"
+        self.waiting = handle.getValueState("waiting", f"few {rows}, runs array<{run}>, number bigint, timer bigint")
+        self.blocks = handle.getMapState("blocks", "run bigint, block bigint", f"waiting {rows}")
+        self.held = handle.getValueState("held", f"held array<{self.state}>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        page: dict[int, list[tuple]] = {}
-        n = 0
+        few, runs, number, timer = self._waiting()
+        values = None
         for r in rows:
-            slot = r[self.us] // self.slot
-            page.setdefault(slot, []).append(tuple(r[c] for c in self.columns))
-            n += 1
-            if n == self.PAGE_ROWS:
-                self._store(page)
-                page, n = {}, 0
-        self._store(page)
+            values = values or itemgetter(*[r.__fields__.index(c) for c in self.columns])
+            few.append(values(tuple(r)))
+            if len(few) >= self.PAGE_ROWS:
+                runs.append(self._store(few, number))
+                few, number = [], number + 1
+        if len(few) > self.BLOCK_ROWS:
+            runs.append(self._store(few, number))
+            few, number = [], number + 1
+        self._wait(few, runs, number, timer)
         return iter([])
 
-    def _store(self, page: dict[int, list[tuple]]) -> None:
-        """A page is written once and never read back before its slot is over."""
-        for slot, waiting in page.items():
-            n = self.counts.getValue((slot,))[0] if self.counts.containsKey((slot,)) else 0
-            self.pages.updateValue((slot, n), (waiting,))
-            self.counts.updateValue((slot,), (n + 1,))
-            if not n:
-                self._wake(slot)
-
-    def _wake(self, slot: int) -> None:
-        """Timers fire in the order of their time, so the slots of a key are worked off in order."""
-        self.handle.registerTimer((slot + 1) * self.slot // 1000)
-
-    def _take(self, slot: int) -> list[Row]:
-        make, rows = Row(*self.columns), []
-        if self.counts.containsKey((slot,)):
-            for n in range(self.counts.getValue((slot,))[0]):
-                rows += [make(*r) for r in self.pages.getValue((slot, n))[0]]
-                self.pages.removeKey((slot, n))
-            self.counts.removeKey((slot,))
-        return sorted(rows, key=lambda r: (r[self.us], r[self.tie] if self.tie else 0))
+    def _waiting(self) -> tuple[list[tuple], list[SortedRun], int, int | None]:
+        was = self.waiting.get()
+        if was is None:
+            return [], [], 0, None
+        few, runs, number, timer = was
+        return _plain(few), [SortedRun(self.blocks, self.us, *r) for r in runs], number, timer
+
+    def _store(self, rows: list[tuple], number: int) -> SortedRun:
+        rows.sort(key=self.order)
+        n = -(-len(rows) // self.BLOCK_ROWS)
+        for i in range(n):
+            self.blocks.updateValue((number, i), (rows[i * self.BLOCK_ROWS : (i + 1) * self.BLOCK_ROWS],))
+        return SortedRun(self.blocks, self.us, number, 0, n, rows[0][self.us])
+
+    def _wait(self, few: list[tuple], runs: list[SortedRun], number: int, timer: int | None, deadline: int | None = None) -> None:
+        """Keep what waits, and one timer: at the end of the first slot with a row or a deadline."""
+        ahead = [*(r[self.us] for r in few), *(run.first for run in runs), *([] if deadline is None else [deadline])]
+        wake = (min(ahead) // self.slot + 1) * self.slot // 1000 if ahead else None
+        if wake is not None and (timer is None or wake < timer):
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(wake)
+            timer = wake
+        if timer is None:
+            self.waiting.clear()
+        else:
+            self.waiting.update((few, [(r.number, r.at, r.n, r.first) for r in runs], number, timer))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        end = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        was = self.held.get()
-        s = self.automaton.begin() if was is None else _plain(was)
-        out: Out = []
-        for r in self._take(end // self.slot - 1):
-            s = self._fire(s, r[self.us] - 1, out)
-            s, more = self.automaton.row(s, r)
-            out += more
-        s = self._fire(s, end - 1, out)
         now = timerValues.getCurrentWatermarkInMs() * 1000
         over = now - now % self.slot - 1  # last instant of the newest slot that is over
-        ahead = self.automaton.deadline(s)
-        if ahead is not None and ahead <= over and not self.counts.exists():
-            # Nothing waits, so no row can come before the deadline. (A timer set here would only
-            # fire in a later micro-batch, and there may be none.)
-            s = self._fire(s, over, out)
-            ahead = self.automaton.deadline(s)
-        if s != self.automaton.begin():
-            self.held.update(s)
-        elif was is not None:
+        few, runs, number, _ = self._waiting()
+        few.sort(key=self.order)
+        ripe = bisect_right(few, over, key=itemgetter(self.us))
+        was = self.held.get()
+        held = {_frozen(k): s for k, s in _plain(was[0])} if was else {}
+        make, made, n = Row(*self.columns[self.keys :]), _row(self.output), self.keys
+        out: Out = []
+        for r in heapq.merge(few[:ripe], *[run.upto(over) for run in runs], key=self.order):
+            k = _frozen(r[:n])
+            s = self._fire(held[k] if k in held else self.automaton.begin(), r[self.us] - 1, out)
+            held[k], more = self.automaton.row(s, make(*r[n:]))
+            for o in (*out, *more):
+                yield made(*k, *o)
+            out.clear()
+        deadline, begin = None, self.automaton.begin()
+        for k, s in list(held.items()):
+            s = held[k] = self._fire(s, over, out)  # no row can come before these deadlines any more
+            for o in out:
+                yield made(*k, *o)
+            out.clear()
+            if s == begin:
+                del held[k]
+            elif (t := self.automaton.deadline(s)) is not None:
+                deadline = t if deadline is None else min(deadline, t)
+        if held:
+            self.held.update((list(held.items()),))
+        elif was:
             self.held.clear()
-        if ahead is not None:
-            self._wake(ahead // self.slot)
-        make = _row(self.output)
-        return (make(*key, *o) for o in out)
+        runs = [run for run in runs if run.at < run.n]
+        self._wait(few[ripe:], runs, number if runs else 0, None, deadline)
 
     def close(self) -> None:
         pass
@@ -155,6 +210,10 @@ class InOrder(StatefulProcessor):
         return s
 
 
+# Keys go in so many groups, each visited once a micro-batch: a call to the state store costs as much as many rows.
+GROUPS = 512
+
+
 def in_order(
     df: DataFrame,
     keys: list[str],
@@ -166,10 +225,13 @@ def in_order(
 ) -> DataFrame:
     """Run an automaton per key over a stream with a watermark on ``ts``. Results come when the
     watermark passes the end of their ``slot`` (whole milliseconds); ``tie`` orders equal times."""
-    columns = [c for c in df.columns if c not in (*keys, ts)]
+    columns = [*keys, *[c for c in df.columns if c not in (*keys, ts)]]
+    held = StructType().add("key", df.select(*keys).schema).add("held", StructType.fromDDL(automaton.state))
     output = f"{_columns(df, keys)}, {automaton.output}"
-    processor = InOrder(automaton, columns, _columns(df, columns), output, us, slot, tie)
-    return df.groupBy(*keys).transformWithState(processor, output, "Append", "EventTime")
+    schema = df.select(*columns).schema.simpleString()
+    processor = InOrder(automaton, keys, columns, schema, held.simpleString(), output, us, slot, tie)
+    grouped = df.withColumn("__group", F.pmod(F.xxhash64(*keys), F.lit(GROUPS))).groupBy("__group")
+    return grouped.transformWithState(processor, output, "Append", "EventTime")
 
 
 class HitRun(Automaton):
