@@ -15,7 +15,9 @@ from helpers import rows
 from pyspark.sql import Row, functions as F
 
 from tidemark.functions.clock import DAY, HOUR, SECOND
+from tidemark.functions.sizing import estimated_bytes
 from tidemark.operators import distinct, joins, patterns, windows
+from tidemark.plans import streams
 from tidemark.sources.files import events, events_stream as events_slices, json_lines_stream
 from tidemark.streaming import forms, stateful as st
 from tidemark.streaming.run import EndMarker, drain, drained, start
@@ -431,3 +433,22 @@ def expired(processor, store, values):
         found += processor.handleExpiredTimer((0,), values, None)
         store.timers.remove(t)
     return found
+
+
+def test_state_partitions_follow_the_size_of_the_table(spark, folder, monkeypatch):
+    """A large table has as many as its bytes ask for, not all partitions of the session's shuffles."""
+    monkeypatch.setattr(streams, "PARTITION_BYTES", 1 << 10)
+    size = estimated_bytes(events(spark, folder))
+    conf = {"spark.tidemark.smallInputBytes": "0", "spark.sql.shuffle.partitions": "200"}
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        assert 4 < streams._partitions(spark, folder) == -(-size // 1024) < 200
+        monkeypatch.setattr(streams, "PARTITION_BYTES", 1)
+        assert streams._partitions(spark, folder) == 200
+        monkeypatch.setattr(streams, "PARTITION_BYTES", 32 << 20)
+        assert streams._partitions(spark, folder) == 4
+    finally:
+        spark.conf.unset("spark.tidemark.smallInputBytes")
+        spark.conf.set("spark.sql.shuffle.partitions", was)

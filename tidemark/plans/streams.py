@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.clock import DAY, HOUR, MINUTE
-from tidemark.functions.sizing import is_small
+from tidemark.functions.sizing import estimated_bytes
 from tidemark.operators import distinct, windows
 from tidemark.plans import late as _late, matching, rows  # noqa: F401  (their SQL is reused)
 from tidemark.plans.late import ARRIVED, DELAY
@@ -27,9 +27,15 @@ from tidemark.streaming.lateness import fired, late_rows, late_windows_writer
 from tidemark.streaming.run import EndMarker, drain, drained, start
 
 
-def _partitions(spark, folder) -> int | None:
-    """State partitions: one per core for a small table, otherwise what the session says."""
-    return spark.sparkContext.defaultParallelism if is_small(events(spark, folder)) else None
+PARTITION_BYTES = 32 << 20  # of the table in its files
+
+
+def _partitions(spark, folder) -> int:
+    """State partitions: one per core, more only as the table grows, and then no more than the session says. Every
+    partition of every store costs a task with its metrics in each micro-batch, however few rows it has."""
+    cores = spark.sparkContext.defaultParallelism
+    size = estimated_bytes(events(spark, folder)) or 0
+    return max(cores, min(-(-size // PARTITION_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def _drain(spark, folder, operator: Callable[[DataFrame], DataFrame], marker_type="view", **options) -> DataFrame:
