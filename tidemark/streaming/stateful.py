@@ -174,7 +174,7 @@ class InOrder(StatefulProcessor):
         held = {_frozen(k): s for k, s in _plain(was[0])} if was else {}
         make, made, n = Row(*self.columns[self.keys :]), _row(self.output), self.keys
         out: Out = []
-        for r in heapq.merge(few[:ripe], *[run.upto(over) for run in runs], key=self.order):
+        for r in heapq.merge(*[run.upto(over) for run in runs], few[:ripe], key=self.order):
             k = _frozen(r[:n])
             s = self._fire(held[k] if k in held else self.automaton.begin(), r[self.us] - 1, out)
             held[k], more = self.automaton.row(s, make(*r[n:]))
