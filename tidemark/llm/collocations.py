@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import join_small, numbered, stored, table
+from tidemark.llm.common import join_small, numbered, stored, table, trimmed
 from tidemark.llm.queries import add
 
 CHUNK_TOKENS = 1 << 20
@@ -108,7 +108,7 @@ def _chunked(docs: DataFrame, tokens: int) -> DataFrame:
 
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang")
     rows = docs.select(lang, F.col("text").cast("string").alias("text")).filter(F.length("text") > 0)
-    return rows.mapInArrow(cut, "chunk bigint, lang string, words array<string>, counts array<bigint>, ids binary")
+    return rows.mapInArrow(trimmed(cut), "chunk bigint, lang string, words array<string>, counts array<bigint>, ids binary")
 
 
 def tiled_counts(left: np.ndarray, right: np.ndarray, tile: int = TILE, dense: int = DENSE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -164,7 +164,7 @@ def _pairs_of(texts: DataFrame) -> DataFrame:
                 left, right, n = tiled_counts(ids[:-1][both], ids[1:][both])
                 yield _pair_batch({"chunk": np.full(len(n), chunk), "left": left, "right": right, "n": n})
 
-    return texts.mapInArrow(count, f"chunk bigint, {_PAIR}")
+    return texts.mapInArrow(trimmed(count), f"chunk bigint, {_PAIR}")
 
 
 def _triples_of(texts: DataFrame, located: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import Words, batches, join_small, table
+from tidemark.llm.common import Words, batches, join_small, table, trim_memory
 from tidemark.llm.queries import add
 
 ORDER = 4
@@ -196,6 +196,7 @@ def with_language(docs: DataFrame, model: Model) -> DataFrame:
     def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for part in parts:
             yield shared.value.predict(part.tolist())
+        trim_memory()
 
     udf = F.pandas_udf(predict, "lang string, score double, bits double")
     return docs.withColumn("_language", udf(F.col("text").cast("string")))

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import Words, batches, finished, join_small, mix, stored, table
+from tidemark.llm.common import Words, batches, finished, join_small, mix, stored, table, trimmed
 from tidemark.llm.graph import components, thinned
 from tidemark.llm.queries import add
 
@@ -103,7 +103,7 @@ def _prints(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"doc_id": none, "n": none, "h1": none, "h2": none, "part": number, "block": range(_BLOCKS), "counts": packed})
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return stored(rows.mapInPandas(scan, schema), "prints")
+    return stored(rows.mapInPandas(trimmed(scan), schema), "prints")
 
 
 def _slot_ranks(prints: DataFrame) -> np.ndarray:
@@ -147,7 +147,7 @@ def _shared_tokens(reps: DataFrame, ranks: np.ndarray) -> DataFrame:
                 "early": np.concatenate(early),
             })
 
-    emitted = reps.select("doc_id", "text").mapInPandas(prefixes, "token bigint, node bigint, n int, early boolean")
+    emitted = reps.select("doc_id", "text").mapInPandas(trimmed(prefixes), "token bigint, node bigint, n int, early boolean")
     same = Window.partitionBy("token")
     ends = emitted.withColumns({"least": F.min("node").over(same), "most": F.max("node").over(same)})
     shared = stored(ends.filter("least < most").select("token", "node", "n", "early"), "shared-tokens")
@@ -200,7 +200,7 @@ def _sets(reps: DataFrame, nodes: DataFrame) -> DataFrame:
             yield pd.DataFrame({"node": part["doc_id"], "n": [len(s) for s in found], "tokens": [s.tobytes() for s in found]})
 
     chosen = join_small(reps.select("doc_id", "text"), nodes.select(F.col("node").alias("doc_id")), ["doc_id"], "left_semi")
-    return stored(chosen.mapInPandas(full, "node bigint, n int, tokens binary"), "sets")
+    return stored(chosen.mapInPandas(trimmed(full), "node bigint, n int, tokens binary"), "sets")
 
 
 def _opened(queries: DataFrame, members: DataFrame, sets: DataFrame, label: str) -> DataFrame:
@@ -242,7 +242,7 @@ def _opened(queries: DataFrame, members: DataFrame, sets: DataFrame, label: str)
                         b.append(other)
             yield pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
-    return stored(dealt.mapInPandas(compare, "a bigint, b bigint"), label)
+    return stored(dealt.mapInPandas(trimmed(compare), "a bigint, b bigint"), label)
 
 
 def _grouped(cross: DataFrame) -> DataFrame:
