@@ -435,6 +435,26 @@ def expired(processor, store, values):
     return found
 
 
+def test_rows_reach_their_group_in_packs(spark, monkeypatch):
+    """3,000 rows are a value a group, in their order, with nulls and nested columns; a page holds no more than it should."""
+    data = [(f"k{i % 40}", None if i % 7 == 0 else i, (i, [str(i), None]), 3000 - i) for i in range(3000)]
+    df = spark.createDataFrame(data, "k string, v bigint, s struct<a: bigint, b: array<string>>, us bigint").coalesce(1)
+    processor = st.InOrder(st.HitRun(lambda r: True), ["k"], df.columns, True, "k string, us bigint", "us", S, None)
+    packs = st._packs(df, ["k"], df.columns).collect()
+    assert len(packs) == len({r["__group"] for r in packs}) <= 40
+    got = [r for p in packs for r in processor._arrived(p, 0)]
+    assert sorted(got, key=lambda r: -r[3]) == data
+    assert all(own == sorted(own, reverse=True) for p in packs for own in [[r[3] for r in processor._arrived(p, 0)]])
+    monkeypatch.setattr(st.InOrder, "PAGE_ROWS", 30)
+    assert max(len(processor._arrived(p, 0)) for p in st._packs(df, ["k"], df.columns).collect()) == 30
+
+
+def test_late_rows_of_a_pack_are_dropped(spark, tmp_path):
+    data = [("u", "x", t) for t in (1, 100, 200, 150, 50, 300)]
+    got = drained(st.in_order(history(spark, tmp_path, data), ["k"], st.HitRun(lambda r: r.type == "x", 1)))
+    assert rows(got) == sorted((("u", t * S) for t in (1, 100, 150, 200, 300)), key=repr)
+
+
 def test_state_partitions_follow_the_size_of_the_table(spark, folder, monkeypatch):
     """A large table has as many as its bytes ask for, not all partitions of the session's shuffles."""
     monkeypatch.setattr(streams, "PARTITION_BYTES", 1 << 10)

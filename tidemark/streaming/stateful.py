@@ -11,6 +11,11 @@ are worked off, in order of time. A few waiting rows are one value of state; mor
 cut into blocks, and merged block by block. What Python holds at once is one page of input, or one block of every run
 and the automata of one group, not the rows of a key.
 
+Rows come to a group packed, a few hundred in a binary value of Arrow, and wait pickled in blocks, as automata do: the
+conversion of single rows between Spark and Python, column by column, costs far more than the automata.
+A row is late, and dropped, if its time is not after the watermark that its group saw in the last micro-batch that
+visited it: that of the micro-batch before, or an earlier one, up to which the group has worked off all the same.
+
 An automaton is a few lines: its state as a tuple, what a row does, what a deadline does.
 Times are microseconds; Spark's timers and watermarks are milliseconds.
 """
@@ -18,13 +23,16 @@ Times are microseconds; Spark's timers and watermarks are milliseconds.
 from __future__ import annotations
 
 import heapq
+import pickle
 from bisect import bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import partial
 from operator import itemgetter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
 
 from tidemark.functions.clock import SECOND
 
@@ -35,23 +43,38 @@ def _columns(df: DataFrame, names: list[str]) -> str:
     return ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in names)
 
 
-def _row(schema: str) -> Row:
-    """A row class with the column names of a schema string, whose types may hold commas themselves."""
+def _names(schema: str) -> list[str]:
+    """The column names of a schema string, whose types may hold commas themselves."""
     names, depth = [], 0
     for column in schema.split(", "):
         if not depth:
             names.append(column.split()[0])
         depth += column.count("<") - column.count(">")
-    return Row(*names)
+    return names
+
+
+def _row(schema: str) -> Row:
+    """A row class with the column names of a schema string."""
+    return Row(*_names(schema))
+
+
+def _maker(names: list[str]) -> Callable[[Iterable], Row]:
+    """What makes a row of a sequence of values, with its columns as plain attributes: quicker to make and read than ``Row``."""
+    columns = {c: property(itemgetter(i)) for i, c in reversed([*enumerate(names)]) if not hasattr(Row, c)}
+    return partial(tuple.__new__, type("Row", (Row,), {**columns, "__fields__": names}))
 
 
 def _plain(v):
-    """A value read from state, with rows as tuples: state does not take its own rows back."""
-    if isinstance(v, tuple):
-        return tuple(_plain(x) for x in v)
+    """A value from Arrow, with structs as tuples."""
+    if isinstance(v, dict):
+        return tuple(_plain(x) for x in v.values())
     return [_plain(x) for x in v] if isinstance(v, list) else v
 
 
+def _pack(v) -> bytes:
+    return pickle.dumps(v, 5)
+
+
 _NAN = float("nan")
 
 
@@ -90,12 +113,12 @@ class SortedRun:
     def upto(self, us: int) -> Iterator[tuple]:
         """The rows up to a time. ``first`` is then the time of the first row left."""
         while self.first <= us and self.at < self.n:
-            rows = _plain(self.blocks.getValue((self.number, self.at))[0])
+            rows = pickle.loads(self.blocks.getValue((self.number, self.at))[0])
             for i, r in enumerate(rows):
                 if r[self.us] > us:
                     self.first = r[self.us]
                     if i:
-                        self.blocks.updateValue((self.number, self.at), (rows[i:],))
+                        self.blocks.updateValue((self.number, self.at), (_pack(rows[i:]),))
                     return
                 yield r
             self.blocks.removeKey((self.number, self.at))
@@ -104,50 +127,59 @@ class SortedRun:
 
 class InOrder(StatefulProcessor):
     PAGE_ROWS = 20_000
-    BLOCK_ROWS = 250
+    BLOCK_ROWS = 500
 
     def __init__(
-        self, automaton: Automaton, keys: list[str], columns: list[str], schema: str, state: str, output: str, us: str,
-        slot: int, tie: str | None,
+        self, automaton: Automaton, keys: list[str], columns: list[str], nested: bool, output: str, us: str, slot: int,
+        tie: str | None,
     ):
-        self.automaton, self.columns, self.schema, self.state, self.output = automaton, columns, schema, state, output
+        self.automaton, self.columns, self.nested, self.output = automaton, columns, nested, output
         self.keys, self.slot, self.us = len(keys), slot, columns.index(us)
         self.order = itemgetter(self.us, columns.index(tie)) if tie else itemgetter(self.us)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        rows, run = f"array<{self.schema}>", "struct<number: bigint, at: bigint, n: bigint, first: bigint>"
-        self.waiting = handle.getValueState("waiting", f"few {rows}, runs array<{run}>, number bigint, timer bigint")
-        self.blocks = handle.getMapState("blocks", "run bigint, block bigint", f"waiting {rows}")
-        self.held = handle.getValueState("held", f"held array<{self.state}>")
+        run = "struct<number: bigint, at: bigint, n: bigint, first: bigint>"
+        self.waiting = handle.getValueState("waiting", f"few binary, runs array<{run}>, number bigint, timer bigint")
+        self.blocks = handle.getMapState("blocks", "run bigint, block bigint", "waiting binary")
+        self.held = handle.getValueState("held", "held binary")
+        self.seen = handle.getValueState("seen", "us bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         few, runs, number, timer = self._waiting()
-        values = None
+        seen = self.seen.get()
+        late = seen[0] if seen else 0  # as Spark, which begins with a watermark of 0
         for r in rows:
-            values = values or itemgetter(*[r.__fields__.index(c) for c in self.columns])
-            few.append(values(tuple(r)))
+            few += self._arrived(r, late)
             if len(few) >= self.PAGE_ROWS:
                 runs.append(self._store(few, number))
                 few, number = [], number + 1
+        self.seen.update((timerValues.getCurrentWatermarkInMs() * 1000,))
         if len(few) > self.BLOCK_ROWS:
             runs.append(self._store(few, number))
             few, number = [], number + 1
         self._wait(few, runs, number, timer)
         return iter([])
 
+    def _arrived(self, r: Row, late: int) -> list[tuple]:
+        """The rows of a pack that are not late, or a row that came by itself: of those Spark has dropped the late ones."""
+        if PACK not in r.__fields__:
+            return [tuple(_plain(r[c]) for c in self.columns)]
+        columns = [c.to_pylist() for c in pa.ipc.open_stream(r[PACK]).read_all().columns]
+        return [v for v in zip(*([_plain(c) for c in columns] if self.nested else columns)) if v[self.us] > late]
+
     def _waiting(self) -> tuple[list[tuple], list[SortedRun], int, int | None]:
         was = self.waiting.get()
         if was is None:
             return [], [], 0, None
         few, runs, number, timer = was
-        return _plain(few), [SortedRun(self.blocks, self.us, *r) for r in runs], number, timer
+        return pickle.loads(few), [SortedRun(self.blocks, self.us, *r) for r in runs], number, timer
 
     def _store(self, rows: list[tuple], number: int) -> SortedRun:
         rows.sort(key=self.order)
         n = -(-len(rows) // self.BLOCK_ROWS)
         for i in range(n):
-            self.blocks.updateValue((number, i), (rows[i * self.BLOCK_ROWS : (i + 1) * self.BLOCK_ROWS],))
+            self.blocks.updateValue((number, i), (_pack(rows[i * self.BLOCK_ROWS : (i + 1) * self.BLOCK_ROWS]),))
         return SortedRun(self.blocks, self.us, number, 0, n, rows[0][self.us])
 
     def _wait(self, few: list[tuple], runs: list[SortedRun], number: int, timer: int | None, deadline: int | None = None) -> None:
@@ -162,41 +194,45 @@ class InOrder(StatefulProcessor):
         if timer is None:
             self.waiting.clear()
         else:
-            self.waiting.update((few, [(r.number, r.at, r.n, r.first) for r in runs], number, timer))
+            self.waiting.update((_pack(few), [(r.number, r.at, r.n, r.first) for r in runs], number, timer))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
+        self.seen.update((now,))
         over = now - now % self.slot - 1  # last instant of the newest slot that is over
         few, runs, number, _ = self._waiting()
         few.sort(key=self.order)
         ripe = bisect_right(few, over, key=itemgetter(self.us))
         was = self.held.get()
-        held = {_frozen(k): s for k, s in _plain(was[0])} if was else {}
-        make, made, n = Row(*self.columns[self.keys :]), _row(self.output), self.keys
+        held = {_frozen(k): s for k, s in pickle.loads(was[0])} if was else {}
+        make, made, n = _maker(self.columns[self.keys :]), _maker(_names(self.output)), self.keys
+        row, deadline = self.automaton.row, self.automaton.deadline
         out: Out = []
         for r in heapq.merge(*[run.upto(over) for run in runs], few[:ripe], key=self.order):
             k = _frozen(r[:n])
-            s = self._fire(held[k] if k in held else self.automaton.begin(), r[self.us] - 1, out)
-            held[k], more = self.automaton.row(s, make(*r[n:]))
+            s = held[k] if k in held else self.automaton.begin()
+            if (t := deadline(s)) is not None and t < r[self.us]:
+                s = self._fire(s, r[self.us] - 1, out)
+            held[k], more = row(s, make(r[n:]))
             for o in (*out, *more):
-                yield made(*k, *o)
+                yield made((*k, *o))
             out.clear()
-        deadline, begin = None, self.automaton.begin()
+        ahead, begin = None, self.automaton.begin()
         for k, s in list(held.items()):
             s = held[k] = self._fire(s, over, out)  # no row can come before these deadlines any more
             for o in out:
-                yield made(*k, *o)
+                yield made((*k, *o))
             out.clear()
             if s == begin:
                 del held[k]
-            elif (t := self.automaton.deadline(s)) is not None:
-                deadline = t if deadline is None else min(deadline, t)
+            elif (t := deadline(s)) is not None:
+                ahead = t if ahead is None else min(ahead, t)
         if held:
-            self.held.update((list(held.items()),))
+            self.held.update((_pack(list(held.items())),))
         elif was:
             self.held.clear()
         runs = [run for run in runs if run.at < run.n]
-        self._wait(few[ripe:], runs, number if runs else 0, None, deadline)
+        self._wait(few[ripe:], runs, number if runs else 0, None, ahead)
 
     def close(self) -> None:
         pass
@@ -212,6 +248,42 @@ class InOrder(StatefulProcessor):
 
 # Keys go in so many groups, each visited once a micro-batch: a call to the state store costs as much as many rows.
 GROUPS = 512
+PACK = "__rows"
+PACK_FROM_ROWS, PACK_FROM_BYTES = 1 << 18, 32 << 20  # what a task gathers before it packs the rows of each group
+
+
+def _packs(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """The rows of a micro-batch as ``(__group, __rows)``: some of one group, in their order, as a stream of Arrow."""
+    most = InOrder.PAGE_ROWS
+
+    def packed(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        group = rows.column(0).to_numpy()
+        order = np.argsort(group, kind="stable")
+        rows, group = rows.select(range(1, rows.num_columns)).take(pa.array(order)), group[order]
+        heads = np.flatnonzero(np.diff(group, prepend=-1)).tolist()
+        found: list[tuple[int, bytes]] = []
+        for a, b in zip(heads, [*heads[1:], len(group)]):
+            for at in range(a, b, most):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, rows.schema) as stream:
+                    stream.write_table(rows.slice(at, min(most, b - at)))
+                found.append((int(group[a]), sink.getvalue().to_pybytes()))
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], t) for i, t in enumerate((pa.int64(), pa.binary()))], ["__group", PACK])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, size = [], 0, 0
+        for batch in batches:
+            held.append(batch)
+            n, size = n + batch.num_rows, size + batch.nbytes
+            if n >= PACK_FROM_ROWS or size >= PACK_FROM_BYTES:
+                yield from packed(held)
+                held, n, size = [], 0, 0
+        if n:
+            yield from packed(held)
+
+    group = F.pmod(F.xxhash64(*keys), F.lit(GROUPS)).alias("__group")
+    return df.select(group, *columns).mapInArrow(pack, f"__group bigint, {PACK} binary")
 
 
 def in_order(
@@ -226,11 +298,10 @@ def in_order(
     """Run an automaton per key over a stream with a watermark on ``ts``. Results come when the
     watermark passes the end of their ``slot`` (whole milliseconds); ``tie`` orders equal times."""
     columns = [*keys, *[c for c in df.columns if c not in (*keys, ts)]]
-    held = StructType().add("key", df.select(*keys).schema).add("held", StructType.fromDDL(automaton.state))
     output = f"{_columns(df, keys)}, {automaton.output}"
-    schema = df.select(*columns).schema.simpleString()
-    processor = InOrder(automaton, keys, columns, schema, held.simpleString(), output, us, slot, tie)
-    grouped = df.withColumn("__group", F.pmod(F.xxhash64(*keys), F.lit(GROUPS))).groupBy("__group")
+    nested = any("<" in df.schema[c].dataType.simpleString() for c in columns)
+    processor = InOrder(automaton, keys, columns, nested, output, us, slot, tie)
+    grouped = _packs(df, keys, columns).groupBy("__group")
     return grouped.transformWithState(processor, output, "Append", "EventTime")
 
 
