@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from cases import no_docs, odd_docs
 
-from tidemark.llm import collocations
+from tidemark.llm import collocations, common
 from tidemark.llm.queries import ORACLES, QUERIES
 
 UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -66,6 +66,20 @@ def test_random_texts_against_brute_force(spark, seed):
     assert found(docs, least=3, top=7, chunk_tokens=50) == brute(rows, least=3, top=7)
 
 
+def test_neighbours_are_looked_up_in_steps(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "LOOKED_UP", 3)
+    rows = [("en", "a b c d a b c, b c d a. " * 20), ("de", "a b c " * 15), ("en", "x")]
+    assert found(table(spark, rows), least=3) == brute(rows, least=3) != []
+
+
+def test_a_trimmed_worker_holds_no_tables():
+    common.Words(["a " * 100_000])
+    assert len(common._POW[0]) > 100_000
+    common.trim_memory()
+    assert len(common._POW[0]) == len(common._POW[1]) == 2
+    assert len(set(common.Words(["a bc a bc " * 10]).hash)) == 2
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     rows = [(r["lang"], r["text"]) for r in docs.collect()]

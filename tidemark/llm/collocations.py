@@ -28,11 +28,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import join_small, numbered, stored, table, trimmed
+from tidemark.llm.common import join_small, numbered, release_memory, stored, table, trimmed
 from tidemark.llm.queries import add
 
 CHUNK_TOKENS = 1 << 20
 TILE = 512
+LOOKED_UP = 1 << 17  # neighbours that are looked up at once
 DENSE = 16  # a tile is counted densely if it has one pair for so many cells
 UNKNOWN = "und"
 
@@ -144,6 +145,7 @@ def _numbered(chunks: DataFrame, located: DataFrame) -> DataFrame:
     """The texts of chunks in ranks: ``(chunk, ids)``, 64-bit numbers, _BREAK for a rare word or the end of a piece."""
 
     def number(chunk: pa.Table, ranks: pa.Table) -> pa.Table:
+        release_memory()
         ids = np.frombuffer(chunk["ids"][0].as_py(), dtype=np.int32) if chunk.num_rows else np.empty(0, np.int32)
         known = np.full(int(ids.max(initial=_BREAK)) + 2, _BREAK, dtype=np.int64)  # the last cell is that of _BREAK
         known[ranks["pos"].to_numpy()] = ranks["id"].to_numpy()
@@ -169,21 +171,26 @@ def _pairs_of(texts: DataFrame) -> DataFrame:
 
 def _triples_of(texts: DataFrame, located: DataFrame) -> DataFrame:
     """Counted triples per chunk, as the number of their first pair and their last word."""
+    step = LOOKED_UP
 
     def count(chunk: pa.Table, pairs: pa.Table) -> pa.Table:
+        release_memory()
         if not chunk.num_rows or not pairs.num_rows:
             return pa.table(_pair_batch(dict.fromkeys(("left", "right", "n"), np.empty(0, np.int64))))
         ids = np.frombuffer(chunk["ids"][0].as_buffer(), dtype=np.int64)
         left, right, number = (pairs[c].to_numpy() for c in ("left", "right", "id"))
-        # ranks of this chunk as small numbers, so that a pair is one number
+        # ranks of this chunk as small numbers, so that a pair is one number; looked up in steps, as arrays of a chunk add up
         used = np.unique(ids)
         key = np.searchsorted(used, left) * len(used) + np.searchsorted(used, right)
         order = np.argsort(key)
         key, number = key[order], number[order]
-        small = np.searchsorted(used, ids)
-        here = small[:-1] * len(used) + small[1:]
-        at = np.minimum(np.searchsorted(key, here), len(key) - 1)
-        pair = np.where((key[at] == here) & (ids[:-1] >= 0) & (ids[1:] >= 0), number[at], _BREAK)
+        pair = np.empty(max(0, len(ids) - 1), dtype=np.int64)
+        for a in range(0, len(pair), step):
+            part = ids[a : a + step + 1]
+            small = np.searchsorted(used, part)
+            here = small[:-1] * len(used) + small[1:]
+            at = np.minimum(np.searchsorted(key, here), len(key) - 1)
+            pair[a : a + step] = np.where((key[at] == here) & (part[:-1] >= 0) & (part[1:] >= 0), number[at], _BREAK)
         both = (pair[:-1] >= 0) & (pair[1:] >= 0)
         found = tiled_counts(pair[:-1][both], ids[2:][both])
         return pa.table(_pair_batch(dict(zip(("left", "right", "n"), found))))

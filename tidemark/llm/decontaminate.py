@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import Words, batches, mix, table
+from tidemark.llm.common import Words, batches, mix, table, trim_memory, trimmed
 from tidemark.llm.queries import add
 
 MIN_WORDS = 5
@@ -244,7 +244,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Setti
                 items = pd.array([h[1] for h in hits], dtype="Int64")
                 yield pd.DataFrame({"doc_id": numbers, "item_id": items, "distance": [h[2] for h in hits], "n_words": [sizes[h[1]] for h in hits]})
 
-        return rows.mapInPandas(scan, _HITS)
+        return rows.mapInPandas(trimmed(scan), _HITS)
 
     found = [one(block) for block in _blocks(benchmark)]
     return reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], _HITS)
@@ -266,6 +266,8 @@ def _clean(shared, settings: Settings):
             keep = np.ones(len(part), dtype=bool)
             keep[[h[0] for h in leaks.find(part.tolist())]] = False
             yield pd.Series(keep)
+        del leaks
+        trim_memory()
 
     return clean
 

@@ -112,6 +112,8 @@ def _encoded(docs: DataFrame, tokenizer: str, end: int, cut: str) -> DataFrame:
                 starts.append(before.get(source, 0))
                 before[source] = starts[-1] + size
             yield part.assign(part=number, start=starts, n=n, wide=encoder.dtype == "<u4", ids=found)
+            del found
+        trim_memory()
 
     named = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), named.alias("source"), F.col("text").cast("string").alias("text"))
@@ -158,10 +160,12 @@ def pack(
     )
 
     def place(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        Encoder.forget()
         trim_memory()
         for part in parts:
             if len(part):
                 yield _placed(schedule, part)
+        trim_memory()
 
     return join_small(encoded, bases, ["part", "source"]).mapInPandas(place, _PIECES)
 
