@@ -10,6 +10,7 @@ import json
 import os
 from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from helpers import rows
 from pyspark.sql import Row, functions as F
@@ -18,6 +19,7 @@ from tidemark.functions.clock import DAY, HOUR, SECOND
 from tidemark.functions.sizing import estimated_bytes
 from tidemark.operators import distinct, joins, patterns, windows
 from tidemark.plans import streams
+from tidemark.sources import files
 from tidemark.sources.files import events, events_stream as events_slices, json_lines_stream
 from tidemark.streaming import forms, stateful as st
 from tidemark.streaming.run import EndMarker, drain, drained, start
@@ -472,3 +474,39 @@ def test_state_partitions_follow_the_size_of_the_table(spark, folder, monkeypatc
     finally:
         spark.conf.unset("spark.tidemark.smallInputBytes")
         spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
+def test_results_leave_packed_and_a_group_is_visited_once(spark):
+    """3,000 results are a value a visit, and a visit for rows works off what is over: no timer is left that is due."""
+    inner = st.InOrder(st.ElementTimers(90 * S), ["k"], ["k", "us"], False, "k string, timer bigint", "us", S, None)
+    processor, store = st.Packed(inner, pa.schema([("k", pa.string()), ("timer", pa.int64())])), CountingStore()
+    processor.init(store)
+    data = [Row("k", "us")(f"k{i % 60}", i * S) for i in range(1, 9001)]
+    found, values = [], None
+    for batch in range(4):
+        now = batch * 3_000_000
+        values = SimpleNamespace(getCurrentWatermarkInMs=lambda now=now: now)
+        visit = list(processor.handleInputRows((0,), iter(data[batch * 3000 : batch * 3000 + 3000]), values))
+        assert len(visit) <= 1 and not any(t <= now for t in store.timers)
+        found += visit
+    values = SimpleNamespace(getCurrentWatermarkInMs=lambda: 19_000_000)
+    found += [r for t in sorted(store.timers) for r in processor.handleExpiredTimer((0,), values, None)]
+    got = [r for p in found for r in pa.ipc.open_stream(p[0]).read_all().to_pylist()]
+    assert sorted((r["k"], r["timer"]) for r in got) == sorted((r.k, r.us + 90 * S) for r in data)
+    assert store.calls < 80 and not any(s.kept for s in (inner.waiting, inner.blocks, inner.held))
+
+
+def test_a_large_table_is_recorded_in_files_for_every_core(spark, folder, monkeypatch):
+    """Slice after slice in order of time, none of its rows lost, each in as many files as there are cores."""
+    monkeypatch.setattr(files, "SLICE_TASK_BYTES", 64)
+    monkeypatch.setattr(files, "_recorded", {})
+    path, n = files._record(spark, folder, 4, files.EVENT_TIME)
+    assert n == spark.sparkContext.defaultParallelism > 1
+    written = spark.read.parquet(path)
+    assert written.schema == files.table(spark, folder, "events").schema
+    assert sorted(written.collect(), key=repr) == sorted(files.table(spark, folder, "events").collect(), key=repr)
+    seen = written.groupBy("_metadata.file_path", "_metadata.file_modification_time")
+    spans = seen.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).orderBy("file_modification_time").collect()
+    assert len(spans) == 4 * n
+    edges = [(min(r.low for r in spans[a : a + n]), max(r.high for r in spans[a : a + n])) for a in range(0, 4 * n, n)]
+    assert all(a[1] < b[0] for a, b in zip(edges, edges[1:]))

@@ -21,7 +21,8 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 # Slices of the recorded table that a stream gets one after another, a micro-batch each.
 SLICES = 8
-SLICE_FILE_BYTES = 64 << 20  # a slice is written, and read, in files of about this size
+SLICE_FILE_BYTES = 64 << 20  # a slice is written, and read, in files of about this size,
+SLICE_TASK_BYTES = 1 << 20  # or of less, down to this, so that every core has one
 EVENT_TIME = "unix_micros(CAST(ts AS TIMESTAMP))"
 _recorded: dict[tuple, tuple[str, int]] = {}
 
@@ -33,15 +34,25 @@ def _record(spark: SparkSession, folder: str, slices: int, order: str) -> tuple[
     if key not in _recorded:
         timed, path = table(spark, folder, "events"), new_scratch(spark, "recorded")
         size = storage.sizes(spark, f"{folder}/events.parquet")
-        files = max(1, -(-size // (slices * SLICE_FILE_BYTES)))
+        cores = spark.sparkContext.defaultParallelism
+        files = max(1, -(-size // (slices * SLICE_FILE_BYTES)), min(cores, size // (slices * SLICE_TASK_BYTES)))
         second = F.floor(F.expr(order) / 1_000_000).cast("bigint")
         shares = [i / slices for i in range(1, slices)]
         cuts = timed.agg(F.percentile_approx(second, shares)).first()[0] or []
-        edges = [None, *sorted(set(cuts)), None]
-        for low, high in zip(edges[:-1], edges[1:]):
-            part = timed if low is None else timed.filter(second >= low)
-            part = part if high is None else part.filter(second < high)
+        cuts = sorted(set(cuts))
+        if files > 1 and cuts:  # dealt once, so that a slice reads its own rows, not the table again
+            dealt, number = new_scratch(spark, "dealt"), sum((second >= c).cast("int") for c in cuts)
+            timed.withColumn("__slice", number).filter("__slice IS NOT NULL").write.partitionBy("__slice").parquet(dealt)
+            rows = spark.read.schema(T.StructType([*timed.schema, T.StructField("__slice", T.IntegerType())])).parquet(dealt)
+            parts = [rows.filter(F.col("__slice") == i).drop("__slice") for i in range(len(cuts) + 1)]
+        else:
+            edges = [None, *cuts, None]
+            parts = [timed if low is None else timed.filter(second >= low) for low in edges[:-1]]
+            parts = [part if high is None else part.filter(second < high) for part, high in zip(parts, edges[1:])]
+        for part in parts:
             part.repartition(files).write.mode("append").parquet(path)
+        if files > 1 and cuts:
+            storage.delete(spark, dealt)
         _recorded[key] = (path, files)
     return _recorded[key]
 

@@ -5,14 +5,14 @@ automaton in event-time order, together with the deadlines the automaton asked f
 does not depend on how rows were split into micro-batches and equals the batch form. Clock rule:
 before a row at time t, every deadline earlier than t has fired; a deadline at exactly t has not.
 
-Keys go in ``GROUPS`` groups by their hash. A group is visited once per micro-batch for its rows and once, by its one
-timer, when the watermark has passed the end of a time slot with a row or a deadline; then all slots that are over
-are worked off, in order of time. A few waiting rows are one value of state; more are sorted page by page into runs,
+Keys go in ``GROUPS`` groups by their hash. A group is visited once per micro-batch for its rows, or by its one timer if it
+has none; where the watermark has passed the end of a time slot with a row or a deadline, all slots that are over are worked
+off in that visit, in order of time. A few waiting rows are one value of state; more are sorted page by page into runs,
 cut into blocks, and merged block by block. What Python holds at once is one page of input, or one block of every run
 and the automata of one group, not the rows of a key.
 
-Rows come to a group packed, a few hundred in a binary value of Arrow, and wait pickled in blocks, as automata do: the
-conversion of single rows between Spark and Python, column by column, costs far more than the automata.
+Rows come to a group packed, a few hundred in a binary value of Arrow, wait pickled in blocks, as automata do, and results
+leave packed: the conversion of single rows between Spark and Python, column by column, costs far more than the automata.
 A row is late, and dropped, if its time is not after the watermark that its group saw in the last micro-batch that
 visited it: that of the micro-batch before, or an earlier one, up to which the group has worked off all the same.
 
@@ -27,11 +27,13 @@ import pickle
 from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator
 from functools import partial
+from itertools import chain
 from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, Row, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.functions.clock import SECOND
@@ -60,8 +62,26 @@ def _row(schema: str) -> Row:
 
 def _maker(names: list[str]) -> Callable[[Iterable], Row]:
     """What makes a row of a sequence of values, with its columns as plain attributes: quicker to make and read than ``Row``."""
-    columns = {c: property(itemgetter(i)) for i, c in reversed([*enumerate(names)]) if not hasattr(Row, c)}
-    return partial(tuple.__new__, type("Row", (Row,), {**columns, "__fields__": names}))
+    places = {c: i for i, c in reversed([*enumerate(names)])}
+    columns = {c: property(itemgetter(i)) for c, i in places.items() if not hasattr(Row, c)}
+
+    def value(self, c):
+        return tuple.__getitem__(self, places.get(c, c))
+
+    return partial(tuple.__new__, type("Row", (Row,), {**columns, "__fields__": names, "__getitem__": value}))
+
+
+def _values(column: pa.Array, nested: bool) -> list:
+    """The values of a column from Arrow: numbers by way of numpy, and each different string made once."""
+    if not column.null_count:
+        kind = column.type
+        if pa.types.is_integer(kind) or pa.types.is_floating(kind):
+            return column.to_numpy().tolist()
+        if pa.types.is_string(kind):
+            coded = column.dictionary_encode()
+            return list(map(coded.dictionary.to_pylist().__getitem__, coded.indices.to_numpy().tolist()))
+    values = column.to_pylist()
+    return _plain(values) if nested else values
 
 
 def _plain(v):
@@ -105,10 +125,12 @@ class Automaton:
 
 
 class SortedRun:
-    """Ordered rows of a key in blocks of state, read block by block; what has been read is removed."""
+    """Ordered rows of a key in blocks of state, read block by block; what has been read is removed. A few rows that are
+    left of the last block are ``rest``."""
 
     def __init__(self, blocks, us: int, number: int, at: int, n: int, first: int):
         self.blocks, self.us, self.number, self.at, self.n, self.first = blocks, us, number, at, n, first
+        self.rest: list[tuple] = []
 
     def upto(self, us: int) -> Iterator[tuple]:
         """The rows up to a time. ``first`` is then the time of the first row left."""
@@ -117,6 +139,9 @@ class SortedRun:
             for i, r in enumerate(rows):
                 if r[self.us] > us:
                     self.first = r[self.us]
+                    if self.at == self.n - 1 and len(rows) - i <= InOrder.FEW_ROWS:
+                        self.rest = rows[i:]
+                        break
                     if i:
                         self.blocks.updateValue((self.number, self.at), (_pack(rows[i:]),))
                     return
@@ -127,7 +152,8 @@ class SortedRun:
 
 class InOrder(StatefulProcessor):
     PAGE_ROWS = 20_000
-    BLOCK_ROWS = 500
+    BLOCK_ROWS = 2_000
+    FEW_ROWS = 500
 
     def __init__(
         self, automaton: Automaton, keys: list[str], columns: list[str], nested: bool, output: str, us: str, slot: int,
@@ -136,9 +162,11 @@ class InOrder(StatefulProcessor):
         self.automaton, self.columns, self.nested, self.output = automaton, columns, nested, output
         self.keys, self.slot, self.us = len(keys), slot, columns.index(us)
         self.order = itemgetter(self.us, columns.index(tie)) if tie else itemgetter(self.us)
+        self.timed = type(automaton).deadline is not Automaton.deadline
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        self.noted: dict[tuple, int] = {}  # groups that have seen the watermark of this micro-batch
         run = "struct<number: bigint, at: bigint, n: bigint, first: bigint>"
         self.waiting = handle.getValueState("waiting", f"few binary, runs array<{run}>, number bigint, timer bigint")
         self.blocks = handle.getMapState("blocks", "run bigint, block bigint", "waiting binary")
@@ -146,6 +174,19 @@ class InOrder(StatefulProcessor):
         self.seen = handle.getValueState("seen", "us bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        self._wait(*self._arrive(key, rows, timerValues))
+        return iter([])
+
+    def visit(self, key, rows, timerValues) -> Iterator[list[tuple]]:
+        """Take rows and work off what is over, so that the timer need not: the results in pages."""
+        few, runs, _, timer = waiting = self._arrive(key, rows, timerValues)
+        due = [t for t in (timer, self._wake(few, runs)) if t is not None]
+        if due and min(due) <= timerValues.getCurrentWatermarkInMs():
+            yield from self.pages(key, timerValues, waiting)
+        else:
+            self._wait(*waiting)
+
+    def _arrive(self, key, rows, timerValues) -> tuple[list[tuple], list[SortedRun], int, int | None]:
         few, runs, number, timer = self._waiting()
         seen = self.seen.get()
         late = seen[0] if seen else 0  # as Spark, which begins with a watermark of 0
@@ -154,19 +195,24 @@ class InOrder(StatefulProcessor):
             if len(few) >= self.PAGE_ROWS:
                 runs.append(self._store(few, number))
                 few, number = [], number + 1
-        self.seen.update((timerValues.getCurrentWatermarkInMs() * 1000,))
-        if len(few) > self.BLOCK_ROWS:
+        self._see(key, timerValues.getCurrentWatermarkInMs() * 1000)
+        if len(few) > self.FEW_ROWS:
             runs.append(self._store(few, number))
             few, number = [], number + 1
-        self._wait(few, runs, number, timer)
-        return iter([])
+        return few, runs, number, timer
+
+    def _see(self, key: tuple, now: int) -> None:
+        if self.noted.get(key) != now:
+            self.seen.update((now,))
+            self.noted[key] = now
 
     def _arrived(self, r: Row, late: int) -> list[tuple]:
         """The rows of a pack that are not late, or a row that came by itself: of those Spark has dropped the late ones."""
         if PACK not in r.__fields__:
             return [tuple(_plain(r[c]) for c in self.columns)]
-        columns = [c.to_pylist() for c in pa.ipc.open_stream(r[PACK]).read_all().columns]
-        return [v for v in zip(*([_plain(c) for c in columns] if self.nested else columns)) if v[self.us] > late]
+        us, pack = self.us, pa.ipc.open_stream(r[PACK]).read_all().combine_chunks()
+        columns = [_values(c.chunk(0), self.nested) for c in pack.columns] if pack.num_rows else []
+        return [v for v in zip(*columns) if v[us] > late]
 
     def _waiting(self) -> tuple[list[tuple], list[SortedRun], int, int | None]:
         was = self.waiting.get()
@@ -182,10 +228,13 @@ class InOrder(StatefulProcessor):
             self.blocks.updateValue((number, i), (_pack(rows[i * self.BLOCK_ROWS : (i + 1) * self.BLOCK_ROWS]),))
         return SortedRun(self.blocks, self.us, number, 0, n, rows[0][self.us])
 
+    def _wake(self, few: list[tuple], runs: list[SortedRun], deadline: int | None = None) -> int | None:
+        ahead = [*(r[self.us] for r in few), *(run.first for run in runs), *([] if deadline is None else [deadline])]
+        return (min(ahead) // self.slot + 1) * self.slot // 1000 if ahead else None
+
     def _wait(self, few: list[tuple], runs: list[SortedRun], number: int, timer: int | None, deadline: int | None = None) -> None:
         """Keep what waits, and one timer: at the end of the first slot with a row or a deadline."""
-        ahead = [*(r[self.us] for r in few), *(run.first for run in runs), *([] if deadline is None else [deadline])]
-        wake = (min(ahead) // self.slot + 1) * self.slot // 1000 if ahead else None
+        wake = self._wake(few, runs, deadline)
         if wake is not None and (timer is None or wake < timer):
             if timer is not None:
                 self.handle.deleteTimer(timer)
@@ -196,43 +245,72 @@ class InOrder(StatefulProcessor):
         else:
             self.waiting.update((_pack(few), [(r.number, r.at, r.n, r.first) for r in runs], number, timer))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[tuple]:
+        return chain.from_iterable(self.pages(key, timerValues))
+
+    def pages(self, key, timerValues, waiting: tuple | None = None) -> Iterator[list[tuple]]:
+        """The results of all slots that are over, in lists of about a page; ``waiting`` is what waits, with a timer that is
+        still to come."""
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        self.seen.update((now,))
+        self._see(key, now)
         over = now - now % self.slot - 1  # last instant of the newest slot that is over
-        few, runs, number, _ = self._waiting()
+        few, runs, number, timer = waiting or (*self._waiting()[:3], None)
         few.sort(key=self.order)
         ripe = bisect_right(few, over, key=itemgetter(self.us))
         was = self.held.get()
         held = {_frozen(k): s for k, s in pickle.loads(was[0])} if was else {}
-        make, made, n = _maker(self.columns[self.keys :]), _maker(_names(self.output)), self.keys
-        row, deadline = self.automaton.row, self.automaton.deadline
+        make, n, us, most = _maker(self.columns[self.keys :]), self.keys, self.us, self.PAGE_ROWS
+        row, deadline, timed, begin = self.automaton.row, self.automaton.deadline, self.timed, self.automaton.begin
         out: Out = []
-        for r in heapq.merge(*[run.upto(over) for run in runs], few[:ripe], key=self.order):
-            k = _frozen(r[:n])
-            s = held[k] if k in held else self.automaton.begin()
-            if (t := deadline(s)) is not None and t < r[self.us]:
-                s = self._fire(s, r[self.us] - 1, out)
+        found: list[tuple] = []
+        for r in self._merged(runs, few[:ripe], over):
+            k = r[:n]
+            if k not in held:
+                k = _frozen(k)
+                if k not in held:
+                    held[k] = begin()
+            s = held[k]
+            if timed and (t := deadline(s)) is not None and t < r[us]:
+                s = self._fire(s, r[us] - 1, out)
+                found += [k + o for o in out]
+                out.clear()
             held[k], more = row(s, make(r[n:]))
-            for o in (*out, *more):
-                yield made((*k, *o))
-            out.clear()
-        ahead, begin = None, self.automaton.begin()
+            if more:
+                found += [k + o for o in more]
+            if len(found) >= most:
+                yield found
+                found = []
+        ahead, first = None, begin()
         for k, s in list(held.items()):
-            s = held[k] = self._fire(s, over, out)  # no row can come before these deadlines any more
-            for o in out:
-                yield made((*k, *o))
-            out.clear()
-            if s == begin:
+            if timed:
+                s = held[k] = self._fire(s, over, out)  # no row can come before these deadlines any more
+                found += [k + o for o in out]
+                out.clear()
+                if len(found) >= most:
+                    yield found
+                    found = []
+            if s == first:
                 del held[k]
-            elif (t := deadline(s)) is not None:
+            elif timed and (t := deadline(s)) is not None:
                 ahead = t if ahead is None else min(ahead, t)
+        if found:
+            yield found
         if held:
             self.held.update((_pack(list(held.items())),))
         elif was:
             self.held.clear()
+        if timer is not None:
+            self.handle.deleteTimer(timer)
+        few = [*chain.from_iterable(run.rest for run in runs), *few[ripe:]]
         runs = [run for run in runs if run.at < run.n]
-        self._wait(few[ripe:], runs, number if runs else 0, None, ahead)
+        self._wait(few, runs, number if runs else 0, None, ahead)
+
+    def _merged(self, runs: list[SortedRun], few: list[tuple], over: int) -> Iterable[tuple]:
+        """The rows of runs up to a time and ``few`` more, in order: sorted at once if they fit a page, or block by block."""
+        parts = [run.upto(over) for run in runs if run.first <= over]
+        if sum(run.n - run.at for run in runs if run.first <= over) * self.BLOCK_ROWS > self.PAGE_ROWS:
+            return heapq.merge(*parts, few, key=self.order)
+        return sorted(chain(*parts, few), key=self.order)
 
     def close(self) -> None:
         pass
@@ -246,6 +324,39 @@ class InOrder(StatefulProcessor):
         return s
 
 
+class Packed(StatefulProcessor):
+    """``InOrder`` with its results packed: ``(__rows)``, up to a page and what a row adds to it as a stream of Arrow."""
+
+    def __init__(self, inner: InOrder, schema: pa.Schema):
+        self.inner, self.schema = inner, schema
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.inner.init(handle)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        return self._packed(self.inner.visit(key, rows, timerValues))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        return self._packed(self.inner.pages(key, timerValues))
+
+    def _packed(self, pages: Iterator[list[tuple]]) -> Iterator[Row]:
+        for page in pages:
+            columns = [pa.array(c, t) for c, t in zip(zip(*page), self.schema.types)]
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, self.schema) as stream:
+                stream.write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
+            yield Row(**{PACK: sink.getvalue().to_pybytes()})
+
+    def close(self) -> None:
+        self.inner.close()
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for pack in batch.column(0):
+            yield from pa.ipc.open_stream(pack.as_buffer())
+
+
 # Keys go in so many groups, each visited once a micro-batch: a call to the state store costs as much as many rows.
 GROUPS = 512
 PACK = "__rows"
@@ -301,8 +412,9 @@ def in_order(
     output = f"{_columns(df, keys)}, {automaton.output}"
     nested = any("<" in df.schema[c].dataType.simpleString() for c in columns)
     processor = InOrder(automaton, keys, columns, nested, output, us, slot, tie)
+    packed = Packed(processor, to_arrow_schema(T.StructType.fromDDL(output)))
     grouped = _packs(df, keys, columns).groupBy("__group")
-    return grouped.transformWithState(processor, output, "Append", "EventTime")
+    return grouped.transformWithState(packed, f"{PACK} binary", "Append", "EventTime").mapInArrow(_unpack, output)
 
 
 class HitRun(Automaton):
