@@ -77,3 +77,10 @@ def test_first_stage_rejects_what_is_in_no_language(spark, folder):
     kept = corpus_pipeline.by_language(spark, docs.unionByName(more).unionByName(short), folder)
     assert {r.doc_id for r in kept.filter("doc_id < 0").select("doc_id").collect()} == {-10}
     assert kept.filter("doc_id >= 0").count() == docs.count()
+
+
+def test_languages_are_predicted_once(spark, folder):
+    """The filter on the language does not make Spark predict a second time below it."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    plan = corpus_pipeline.by_language(spark, docs, folder)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

@@ -190,7 +190,8 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
 
 
 def with_language(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a struct column ``_language(lang, score, bits)`` behind its own."""
+    """``docs`` with a struct column ``_language(lang, score, bits)`` behind its own. To Spark the function is not deterministic,
+    or it would push a filter on the column below it and predict twice, in twice as many Python workers."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -198,7 +199,7 @@ def with_language(docs: DataFrame, model: Model) -> DataFrame:
             yield shared.value.predict(part.tolist())
         trim_memory()
 
-    udf = F.pandas_udf(predict, "lang string, score double, bits double")
+    udf = F.pandas_udf(predict, "lang string, score double, bits double").asNondeterministic()
     return docs.withColumn("_language", udf(F.col("text").cast("string")))
 
 
