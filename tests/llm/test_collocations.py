@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -11,6 +12,7 @@ import pytest
 from cases import no_docs, odd_docs
 
 from tidemark.llm import collocations, common
+from tidemark.llm.collocations import tiled_counts
 from tidemark.llm.queries import ORACLES, QUERIES
 
 UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -111,3 +113,17 @@ def test_query_against_sql(spark, folder):
     from check import compare, connect
 
     assert compare(QUERIES["op13_collocations"](spark, folder), connect(folder), ORACLES["op13_collocations"]) == []
+
+
+def test_pairs_are_counted_in_few_arrays():
+    """Counting a chunk of words takes little more than the pairs themselves, and gives what a counter gives."""
+    rng = np.random.default_rng(3)
+    left, right = rng.integers(0, 1 << 20, 1 << 18), rng.integers(0, 1 << 20, 1 << 18)
+    left[:1000], right[:1000] = 5, 7
+    tracemalloc.start()
+    found = tiled_counts(left, right)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak <= 8 * left.nbytes
+    got = {(a, b): n for a, b, n in zip(*(x.tolist() for x in found))}
+    assert got == Counter(zip(left.tolist(), right.tolist())) and len(got) == len(found[0])

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tidemark.llm.common import join_small, numbered, release_memory, stored, table, trimmed
 from tidemark.llm.queries import add
 
-CHUNK_TOKENS = 1 << 20
+CHUNK_TOKENS = 1 << 19  # what a Python worker holds follows it: its arrays of 8 bytes a word, some ten at once
 TILE = 512
 LOOKED_UP = 1 << 17  # neighbours that are looked up at once
 DENSE = 16  # a tile is counted densely if it has one pair for so many cells
@@ -126,12 +126,22 @@ def tiled_counts(left: np.ndarray, right: np.ndarray, tile: int = TILE, dense: i
         cells = np.bincount(left[here] % tile * tile + right[here] % tile, minlength=tile * tile)
         used = np.flatnonzero(cells)
         found.append((t // width * tile + used // tile, t % width * tile + used % tile, cells[used]))
-    left, right = left[rest], right[rest]
-    order = np.lexsort((right, left)) if max(left.max(initial=0), right.max(initial=0)) >= 1 << 31 else np.argsort(left << 32 | right)
-    left, right = left[order], right[order]
-    heads = np.flatnonzero(np.concatenate(([True], (left[1:] != left[:-1]) | (right[1:] != right[:-1])))) if len(left) else np.empty(0, np.int64)
-    found.append((left[heads], right[heads], np.diff(np.append(heads, len(left)))))
-    return tuple(np.concatenate(x) for x in zip(*found))
+    if not rest.all():
+        left, right = left[rest], right[rest]
+    del number, rest
+    if max(left.max(initial=0), right.max(initial=0)) >= 1 << 31:
+        order = np.lexsort((right, left))
+        left, right = left[order], right[order]
+        heads = np.flatnonzero(np.concatenate(([True], (left[1:] != left[:-1]) | (right[1:] != right[:-1]))))
+        found.append((left[heads], right[heads], np.diff(np.append(heads, len(left)))))
+    elif len(left):  # a pair is one number, sorted in its place
+        key = left << 32
+        key |= right
+        key.sort()
+        heads = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        sizes, key = np.diff(np.append(heads, len(key))), key[heads]
+        found.append((key >> 32, key & 0xFFFFFFFF, sizes))
+    return found[0] if len(found) == 1 else tuple(np.concatenate(x) for x in zip(*found))
 
 
 _PAIR = "left bigint, right bigint, n bigint"
