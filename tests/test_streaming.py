@@ -510,3 +510,64 @@ def test_a_large_table_is_recorded_in_files_for_every_core(spark, folder, monkey
     assert len(spans) == 4 * n
     edges = [(min(r.low for r in spans[a : a + n]), max(r.high for r in spans[a : a + n])) for a in range(0, 4 * n, n)]
     assert all(a[1] < b[0] for a, b in zip(edges, edges[1:]))
+
+
+def _spans(spark, path):
+    """First and last time of every file of a recording, in the order a stream takes them."""
+    seen = spark.read.parquet(path).groupBy("_metadata.file_path", "_metadata.file_modification_time")
+    spans = seen.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).orderBy("file_modification_time").collect()
+    return [(r.low, r.high) for r in spans]
+
+
+def test_recording_takes_no_job_per_slice(spark, folder, monkeypatch):
+    """One write for all slices: as many jobs for sixteen as for two."""
+    monkeypatch.setattr(files, "SLICE_TASK_BYTES", 64)
+    jobs = []
+    for slices in (2, 16):
+        monkeypatch.setattr(files, "_recorded", {})
+        group = f"recording-{slices}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            files._record(spark, folder, slices, files.EVENT_TIME)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+    assert 0 < jobs[0] == jobs[1]
+
+
+def test_a_store_that_keeps_its_own_times_gets_the_slices_in_turn(spark, folder, monkeypatch):
+    monkeypatch.setattr(files, "SLICE_TASK_BYTES", 64)
+    monkeypatch.setattr(files, "_recorded", {})
+    monkeypatch.setattr(files.storage, "date_by_name", lambda *_: False)
+    path, n = files._record(spark, folder, 4, files.EVENT_TIME)
+    assert n == spark.sparkContext.defaultParallelism
+    assert sorted(spark.read.parquet(path).collect(), key=repr) == sorted(files.table(spark, folder, "events").collect(), key=repr)
+    spans = _spans(spark, path)
+    edges = [(min(s[0] for s in spans[a : a + n]), max(s[1] for s in spans[a : a + n])) for a in range(0, 4 * n, n)]
+    assert len(spans) == 4 * n and all(a[1] < b[0] for a, b in zip(edges, edges[1:]))
+
+
+def test_slices_with_fewer_rows_than_files_stay_apart(spark, tmp_path, monkeypatch):
+    """Nine rows of four seconds, one of them without a time, in a table large enough for several files a slice."""
+    monkeypatch.setattr(files, "SLICE_TASK_BYTES", 1)
+    times = [1, 1, 1, 1, 1, 2, 3, 4, None]
+    data = spark.createDataFrame([(i, t) for i, t in enumerate(times)], "event_id bigint, t bigint")
+    data.select("event_id", F.timestamp_seconds("t").alias("ts")).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    path, n = files._record(spark, str(tmp_path), 4, files.EVENT_TIME)
+    spans = _spans(spark, path)
+    assert n == 1 and len(spans) == 2 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    assert sorted(r.event_id for r in spark.read.parquet(path).collect()) == list(range(8))
+
+
+def test_the_end_row_comes_last_in_the_same_run(spark, folder, tmp_path, monkeypatch):
+    """One run from start to end closes every window: the last row is a micro-batch of its own."""
+    monkeypatch.setattr(files, "SLICE_TASK_BYTES", 64)
+    monkeypatch.setattr(files, "_recorded", {})
+    stream = events_slices(spark, folder, end={"user_id": -1, "event_type": "end"})
+    counts = windows.tumbling(stream.withWatermark("ts", "0 seconds"), ["event_type"], DAY, [F.count("*").alias("cnt")])
+    query = start(counts, str(tmp_path / "cp"), str(tmp_path / "out"))
+    query.awaitTermination()
+    taken = [p.numInputRows for p in query.recentProgress if p.numInputRows]
+    assert len(taken) == files.SLICES + 1 and taken[-1] == 1
+    whole = windows.tumbling(events(spark, folder), ["event_type"], DAY, [F.count("*").alias("cnt")])
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(whole)

@@ -23,6 +23,27 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(place)) if fs.exists(place) else []
 
 
+def parquet_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the Parquet files in a folder, sorted."""
+    return [n for n in names(spark, path) if n.endswith(".parquet")]
+
+
+def date_by_name(spark: SparkSession, path: str) -> bool:
+    """Give the Parquet files of a folder modification times in order of their names, a second apart and none later than
+    now. False if the store does not keep such times."""
+    fs, place = _open(spark, path)
+
+    def times() -> dict[str, int]:
+        return {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(place)}
+
+    found, was = parquet_files(spark, path), times()
+    first = min((was[n] for n in found), default=0) - 1000 * len(found)
+    for i, name in enumerate(found):
+        fs.setTimes(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), first + 1000 * i, -1)
+    now = times()
+    return all(now[a] < now[b] for a, b in zip(found, found[1:]))
+
+
 def sizes(spark: SparkSession, path: str) -> int:
     """Bytes below a path, 0 if it is not there."""
     fs, place = _open(spark, path)

@@ -1,7 +1,7 @@
 """The event table as a stream: Spark's own stateful operators and the custom ones.
 
 Each query drains the stream into a table in the scratch folder and returns that table; its SQL is
-the SQL of the batch twin. The streams end with a marker row, see ``EndMarker``.
+the SQL of the batch twin. The streams end with a marker row, see ``events_stream``.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from tidemark.session import new_scratch
 from tidemark.sources.files import EVENT_TIME, events, events_stream, item
 from tidemark.streaming import forms, stateful as st, triggers
 from tidemark.streaming.lateness import fired, late_rows, late_windows_writer
-from tidemark.streaming.run import EndMarker, drain, drained, start
+from tidemark.streaming.run import drain, drained, start
 
 
 PARTITION_BYTES = 32 << 20  # of the table in its files
@@ -39,9 +39,9 @@ def _partitions(spark, folder) -> int:
 
 
 def _drain(spark, folder, operator: Callable[[DataFrame], DataFrame], marker_type="view", **options) -> DataFrame:
-    end = EndMarker(events_stream(spark, folder), user_id=-1, event_type=marker_type)
-    out = operator(end.stream.withWatermark("ts", "0 seconds"))
-    return drained(out, end=end, partitions=_partitions(spark, folder), **options)
+    stream = events_stream(spark, folder, end={"user_id": -1, "event_type": marker_type})
+    out = operator(stream.withWatermark("ts", "0 seconds"))
+    return drained(out, partitions=_partitions(spark, folder), **options)
 
 
 def _in_order(spark, folder, automaton: st.Automaton, columns=("event_type",), kinds=None) -> DataFrame:
@@ -62,14 +62,14 @@ def stream_tumble_event(spark, folder):
 @query("stream_tumble_manual", ORACLES["tumble_event"])
 def stream_tumble_manual(spark, folder):
     """Tumbling windows by hand: counts in map state under salted keys, timers at the ends."""
-    end = EndMarker(events_stream(spark, folder), user_id=-1, event_type="view")
-    counts = st.count_windows(end.stream.select("event_type", "ts", "us").withWatermark("ts", "0 seconds"), ["event_type"], DAY)
+    stream = events_stream(spark, folder, end={"user_id": -1, "event_type": "view"})
+    counts = st.count_windows(stream.select("event_type", "ts", "us").withWatermark("ts", "0 seconds"), ["event_type"], DAY)
     schema = "event_type string, window_start bigint, window_end bigint, cnt bigint"
 
     def writer(path: str):
         return batch_files(path, lambda parts: st.whole_windows(parts, ["event_type"], DAY))
 
-    return drained(counts, writer, end=end, schema=schema, partitions=_partitions(spark, folder)).drop("batch")
+    return drained(counts, writer, schema=schema, partitions=_partitions(spark, folder)).drop("batch")
 
 
 @query("stream_hot_items_topn", ORACLES["hot_items_topn"])
@@ -245,11 +245,10 @@ def _late_windows(spark, folder, lateness: int) -> str:
     """Windows of a day over the arrivals in eight micro-batches, then a row far in the future that closes them."""
     late_by = F.pmod(F.col("event_id") * 7919, F.lit(48)) * F.lit(HOUR)
     arrival = f"{EVENT_TIME} + pmod(event_id * 7919, 48) * {HOUR}"
-    end = EndMarker(events_stream(spark, folder, order=arrival), event_id=-1, event_type="end")
-    rows = end.stream.select("event_type", "event_id", "us", (F.col("us") + late_by).alias("arr"))
+    stream = events_stream(spark, folder, order=arrival, end={"event_id": -1, "event_type": "end"})
+    rows = stream.select("event_type", "event_id", "us", (F.col("us") + late_by).alias("arr"))
     keys = {"event_type": "string"}
-    path = drain(rows, lambda out: late_windows_writer(out, keys, ["arr", "event_id"], DELAY, DAY, lateness), end=end)
-    return path
+    return drain(rows, lambda out: late_windows_writer(out, keys, ["arr", "event_id"], DELAY, DAY, lateness))
 
 
 @query("stream_allowed_lateness", ORACLES["allowed_lateness"])

@@ -24,6 +24,7 @@ SLICES = 8
 SLICE_FILE_BYTES = 64 << 20  # a slice is written, and read, in files of about this size,
 SLICE_TASK_BYTES = 1 << 20  # or of less, down to this, so that every core has one
 EVENT_TIME = "unix_micros(CAST(ts AS TIMESTAMP))"
+FAR_FUTURE = "2200-01-01 00:00:00"
 _recorded: dict[tuple, tuple[str, int]] = {}
 
 
@@ -38,30 +39,54 @@ def _record(spark: SparkSession, folder: str, slices: int, order: str) -> tuple[
         files = max(1, -(-size // (slices * SLICE_FILE_BYTES)), min(cores, size // (slices * SLICE_TASK_BYTES)))
         second = F.floor(F.expr(order) / 1_000_000).cast("bigint")
         shares = [i / slices for i in range(1, slices)]
-        cuts = timed.agg(F.percentile_approx(second, shares)).first()[0] or []
-        cuts = sorted(set(cuts))
-        if files > 1 and cuts:  # dealt once, so that a slice reads its own rows, not the table again
-            dealt, number = new_scratch(spark, "dealt"), sum((second >= c).cast("int") for c in cuts)
-            timed.withColumn("__slice", number).filter("__slice IS NOT NULL").write.partitionBy("__slice").parquet(dealt)
-            rows = spark.read.schema(T.StructType([*timed.schema, T.StructField("__slice", T.IntegerType())])).parquet(dealt)
-            parts = [rows.filter(F.col("__slice") == i).drop("__slice") for i in range(len(cuts) + 1)]
-        else:
-            edges = [None, *cuts, None]
-            parts = [timed if low is None else timed.filter(second >= low) for low in edges[:-1]]
-            parts = [part if high is None else part.filter(second < high) for part, high in zip(parts, edges[1:])]
-        for part in parts:
-            part.repartition(files).write.mode("append").parquet(path)
-        if files > 1 and cuts:
-            storage.delete(spark, dealt)
+        low, cuts = timed.agg(F.min(second), F.percentile_approx(second, shares)).first()
+        cuts = sorted({c for c in cuts or [] if c > low})
+        number = sum(((second >= c).cast("int") for c in cuts), F.lit(0))
+        rows = timed if low is None else timed.filter(second.isNotNull())
+        written = _deal(rows, number, len(cuts) + 1, files, path)
+        if files > 1 and written < files * (len(cuts) + 1):  # a slice with too few rows for its files: one file each
+            storage.delete(spark, path)
+            files = 1
+            _deal(rows, number, len(cuts) + 1, files, path)
+        if not storage.date_by_name(spark, path):
+            path = _in_turn(spark, path, files, timed.schema)
         _recorded[key] = (path, files)
     return _recorded[key]
 
 
-def events_stream(spark: SparkSession, folder: str, slices: int = SLICES, order: str = EVENT_TIME) -> DataFrame:
+def _deal(rows: DataFrame, number: Column, slices: int, files: int, path: str) -> int:
+    """Write rows by the number of their slice, each slice in so many files, named in order of the slices; the number of
+    files, fewer where one would be empty."""
+    share = F.pmod(F.xxhash64(*rows.columns), F.lit(files)).cast("int")
+    rows.repartitionById(slices * files, number * files + share).write.parquet(path)
+    return len(storage.parquet_files(rows.sparkSession, path))
+
+
+def _in_turn(spark: SparkSession, path: str, files: int, schema: T.StructType) -> str:
+    """The same files written again one slice after the other, for a store that keeps its own times."""
+    found, again = storage.parquet_files(spark, path), new_scratch(spark, "recorded")
+    for i in range(0, len(found), files):
+        part = spark.read.schema(schema).parquet(*[f"{path}/{name}" for name in found[i : i + files]])
+        part.repartition(files).write.mode("append").parquet(again)
+    storage.delete(spark, path)
+    return again
+
+
+def events_stream(
+    spark: SparkSession, folder: str, slices: int = SLICES, order: str = EVENT_TIME, end: dict[str, object] | None = None
+) -> DataFrame:
     """The same table as a stream, replayed in order of time, or another order, in ``slices`` micro-batches, so that no
-    row is late and the watermark moves while rows still come."""
+    row is late and the watermark moves while rows still come. With ``end`` (values of columns) one row far in the future
+    comes after all others, in a micro-batch of its own, and closes every window before it."""
     path, files = _record(spark, folder, slices, order)
     schema = table(spark, folder, "events").schema
+    if end is not None:
+        last = new_scratch(spark, "end")
+        values = {"ts": FAR_FUTURE, **end}
+        row = [F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields]
+        spark.range(1).select(*row).write.parquet(last)
+        root, _, name = path.rpartition("/")
+        path = f"{root}/{{{name},{last.rpartition('/')[2]}}}"
     return _timed(spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path))
 
 
