@@ -153,7 +153,7 @@ class SortedRun:
 class InOrder(StatefulProcessor):
     PAGE_ROWS = 20_000
     BLOCK_ROWS = 2_000
-    FEW_ROWS = 500
+    FEW_ROWS = 2_000  # as many as a block: they cost one value, not three calls more
 
     def __init__(
         self, automaton: Automaton, keys: list[str], columns: list[str], nested: bool, output: str, us: str, slot: int,
@@ -166,46 +166,40 @@ class InOrder(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.noted: dict[tuple, int] = {}  # groups that have seen the watermark of this micro-batch
         run = "struct<number: bigint, at: bigint, n: bigint, first: bigint>"
-        self.waiting = handle.getValueState("waiting", f"few binary, runs array<{run}>, number bigint, timer bigint")
+        self.waiting = handle.getValueState("waiting", f"few binary, runs array<{run}>, number bigint, timer bigint, seen bigint")
         self.blocks = handle.getMapState("blocks", "run bigint, block bigint", "waiting binary")
         self.held = handle.getValueState("held", "held binary")
-        self.seen = handle.getValueState("seen", "us bigint")
+        self.seen = handle.getValueState("seen", "us bigint")  # of a group in which nothing waits
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        self._wait(*self._arrive(key, rows, timerValues))
+        self._wait(timerValues, *self._arrive(rows))
         return iter([])
 
     def visit(self, key, rows, timerValues) -> Iterator[list[tuple]]:
         """Take rows and work off what is over, so that the timer need not: the results in pages."""
-        few, runs, _, timer = waiting = self._arrive(key, rows, timerValues)
+        few, runs, _, timer = waiting = self._arrive(rows)
         due = [t for t in (timer, self._wake(few, runs)) if t is not None]
         if due and min(due) <= timerValues.getCurrentWatermarkInMs():
             yield from self.pages(key, timerValues, waiting)
         else:
-            self._wait(*waiting)
+            self._wait(timerValues, *waiting)
 
-    def _arrive(self, key, rows, timerValues) -> tuple[list[tuple], list[SortedRun], int, int | None]:
-        few, runs, number, timer = self._waiting()
-        seen = self.seen.get()
-        late = seen[0] if seen else 0  # as Spark, which begins with a watermark of 0
+    def _arrive(self, rows) -> tuple[list[tuple], list[SortedRun], int, int | None]:
+        few, runs, number, timer, late = self._waiting()
+        if timer is None:
+            seen = self.seen.get()
+            late = seen[0] if seen else 0  # as Spark, which begins with a watermark of 0
         for r in rows:
             few += self._arrived(r, late)
             if len(few) >= self.PAGE_ROWS:
                 runs.append(self._store(few, number))
                 few, number = [], number + 1
-        self._see(key, timerValues.getCurrentWatermarkInMs() * 1000)
         if len(few) > self.FEW_ROWS:
             runs.append(self._store(few, number))
             few, number = [], number + 1
         return few, runs, number, timer
 
-    def _see(self, key: tuple, now: int) -> None:
-        if self.noted.get(key) != now:
-            self.seen.update((now,))
-            self.noted[key] = now
-
     def _arrived(self, r: Row, late: int) -> list[tuple]:
         """The rows of a pack that are not late, or a row that came by itself: of those Spark has dropped the late ones."""
         if PACK not in r.__fields__:
@@ -214,12 +208,12 @@ class InOrder(StatefulProcessor):
         columns = [_values(c.chunk(0), self.nested) for c in pack.columns] if pack.num_rows else []
         return [v for v in zip(*columns) if v[us] > late]
 
-    def _waiting(self) -> tuple[list[tuple], list[SortedRun], int, int | None]:
+    def _waiting(self) -> tuple[list[tuple], list[SortedRun], int, int | None, int]:
         was = self.waiting.get()
         if was is None:
-            return [], [], 0, None
-        few, runs, number, timer = was
-        return pickle.loads(few), [SortedRun(self.blocks, self.us, *r) for r in runs], number, timer
+            return [], [], 0, None, 0
+        few, runs, number, timer, seen = was
+        return pickle.loads(few), [SortedRun(self.blocks, self.us, *r) for r in runs], number, timer, seen
 
     def _store(self, rows: list[tuple], number: int) -> SortedRun:
         rows.sort(key=self.order)
@@ -232,8 +226,11 @@ class InOrder(StatefulProcessor):
         ahead = [*(r[self.us] for r in few), *(run.first for run in runs), *([] if deadline is None else [deadline])]
         return (min(ahead) // self.slot + 1) * self.slot // 1000 if ahead else None
 
-    def _wait(self, few: list[tuple], runs: list[SortedRun], number: int, timer: int | None, deadline: int | None = None) -> None:
-        """Keep what waits, and one timer: at the end of the first slot with a row or a deadline."""
+    def _wait(
+        self, timerValues, few: list[tuple], runs: list[SortedRun], number: int, timer: int | None, deadline: int | None = None
+    ) -> None:
+        """Keep what waits with the watermark seen, and one timer: at the end of the first slot with a row or a deadline."""
+        seen = timerValues.getCurrentWatermarkInMs() * 1000
         wake = self._wake(few, runs, deadline)
         if wake is not None and (timer is None or wake < timer):
             if timer is not None:
@@ -242,8 +239,9 @@ class InOrder(StatefulProcessor):
             timer = wake
         if timer is None:
             self.waiting.clear()
+            self.seen.update((seen,))
         else:
-            self.waiting.update((_pack(few), [(r.number, r.at, r.n, r.first) for r in runs], number, timer))
+            self.waiting.update((_pack(few), [(r.number, r.at, r.n, r.first) for r in runs], number, timer, seen))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[tuple]:
         return chain.from_iterable(self.pages(key, timerValues))
@@ -252,13 +250,13 @@ class InOrder(StatefulProcessor):
         """The results of all slots that are over, in lists of about a page; ``waiting`` is what waits, with a timer that is
         still to come."""
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        self._see(key, now)
         over = now - now % self.slot - 1  # last instant of the newest slot that is over
         few, runs, number, timer = waiting or (*self._waiting()[:3], None)
         few.sort(key=self.order)
         ripe = bisect_right(few, over, key=itemgetter(self.us))
         was = self.held.get()
         held = {_frozen(k): s for k, s in pickle.loads(was[0])} if was else {}
+        due: dict[tuple, int | None] = {}  # the deadlines of the automata met here
         make, n, us, most = _maker(self.columns[self.keys :]), self.keys, self.us, self.PAGE_ROWS
         row, deadline, timed, begin = self.automaton.row, self.automaton.deadline, self.timed, self.automaton.begin
         out: Out = []
@@ -270,11 +268,16 @@ class InOrder(StatefulProcessor):
                 if k not in held:
                     held[k] = begin()
             s = held[k]
-            if timed and (t := deadline(s)) is not None and t < r[us]:
-                s = self._fire(s, r[us] - 1, out)
-                found += [k + o for o in out]
-                out.clear()
-            held[k], more = row(s, make(r[n:]))
+            if timed:
+                t = due[k] if k in due else deadline(s)
+                if t is not None and t < r[us]:
+                    s, _ = self._fire(s, t, r[us] - 1, out)
+                    found += [k + o for o in out]
+                    out.clear()
+            s, more = row(s, make(r[n:]))
+            held[k] = s
+            if timed:
+                due[k] = deadline(s)
             if more:
                 found += [k + o for o in more]
             if len(found) >= most:
@@ -282,17 +285,21 @@ class InOrder(StatefulProcessor):
                 found = []
         ahead, first = None, begin()
         for k, s in list(held.items()):
+            t = None
             if timed:
-                s = held[k] = self._fire(s, over, out)  # no row can come before these deadlines any more
-                found += [k + o for o in out]
-                out.clear()
-                if len(found) >= most:
-                    yield found
-                    found = []
+                t = due[k] if k in due else deadline(s)
+                if t is not None and t <= over:  # no row can come before these deadlines any more
+                    s, t = self._fire(s, t, over, out)
+                    held[k] = s
+                    found += [k + o for o in out]
+                    out.clear()
+                    if len(found) >= most:
+                        yield found
+                        found = []
             if s == first:
                 del held[k]
-            elif timed and (t := deadline(s)) is not None:
-                ahead = t if ahead is None else min(ahead, t)
+            elif t is not None and (ahead is None or t < ahead):
+                ahead = t
         if found:
             yield found
         if held:
@@ -303,7 +310,7 @@ class InOrder(StatefulProcessor):
             self.handle.deleteTimer(timer)
         few = [*chain.from_iterable(run.rest for run in runs), *few[ripe:]]
         runs = [run for run in runs if run.at < run.n]
-        self._wait(few, runs, number if runs else 0, None, ahead)
+        self._wait(timerValues, few, runs, number if runs else 0, None, ahead)
 
     def _merged(self, runs: list[SortedRun], few: list[tuple], over: int) -> Iterable[tuple]:
         """The rows of runs up to a time and ``few`` more, in order: sorted at once if they fit a page, or block by block."""
@@ -315,13 +322,14 @@ class InOrder(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def _fire(self, s: tuple, upto: int, out: Out) -> tuple:
-        t = self.automaton.deadline(s)
+    def _fire(self, s: tuple, t: int | None, upto: int, out: Out) -> tuple[tuple, int | None]:
+        """Fire the deadlines up to a time, ``t`` the first of them; the automaton then, and its next deadline."""
+        fire, deadline = self.automaton.fire, self.automaton.deadline
         while t is not None and t <= upto:
-            s, more = self.automaton.fire(s, t)
+            s, more = fire(s, t)
             out += more
-            t = self.automaton.deadline(s)
-        return s
+            t = deadline(s)
+        return s, t
 
 
 class Packed(StatefulProcessor):
