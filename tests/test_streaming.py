@@ -571,3 +571,17 @@ def test_the_end_row_comes_last_in_the_same_run(spark, folder, tmp_path, monkeyp
     assert len(taken) == files.SLICES + 1 and taken[-1] == 1
     whole = windows.tumbling(events(spark, folder), ["event_type"], DAY, [F.count("*").alias("cnt")])
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(whole)
+
+
+def test_a_visit_with_a_block_of_rows_takes_few_calls():
+    """The watermark that a group has seen is kept with what waits: 1,500 rows a visit take ten calls."""
+    processor, store = st.InOrder(st.HitRun(lambda r: True, 3), ["k"], ["k", "us"], False, "k string, us bigint", "us", S, None), CountingStore()
+    processor.init(store)
+    found, calls = 0, []
+    for batch in range(4):
+        values = SimpleNamespace(getCurrentWatermarkInMs=lambda now=batch * 1_500_000: now)
+        before = store.calls
+        data = [Row("k", "us")("a", (batch * 1500 + i) * S) for i in range(1, 1501)]
+        found += sum(len(page) for page in processor.visit((0,), iter(data), values))
+        calls.append(store.calls - before)
+    assert found > 4000 and max(calls) <= 10
