@@ -78,6 +78,45 @@ def test_runs_count_over_all_shards_of_a_host(spark, monkeypatch):
     assert found == {i: f"own words of page number {i} and nothing else" for i in range(20)} | {100 + i: story for i in range(3)}
 
 
+NOTICE = "sign up now to read the best of our stories before all others do"
+
+
+def article_pages():
+    """Articles of which some hold the same notice, without a telling element: (rows, texts)."""
+    own = {i: [f"title {i}", *(" ".join(f"w{i}x{j}x{k}" for k in range(20)) for j in range(3))] for i in range(12)}
+    html_of = lambda blocks: "<article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article>"
+    rows = [(i, f"http://a.example/{i}", html_of([*own[i], NOTICE] if i < 5 else own[i])) for i in range(10)]
+    want = {i: "\n\n".join(own[i]) for i in range(10)}
+    for i in (10, 11):  # two pages of a host quote each other; a host's notice says nothing about another host
+        rows.append((i, f"http://b.example/{i}", html_of([*own[i], NOTICE])))
+        want[i] = "\n\n".join([*own[i], NOTICE])
+    for i in range(4):  # versions of one article, and copies of it
+        blocks = [*own[0][1:], *own[1][1:], f"version {i // 2} of the same article"]
+        rows.append((20 + i, f"http://c.example/{i}", html_of(blocks)))
+        want[20 + i] = "\n\n".join(blocks)
+    for i in range(4):
+        blocks = [*own[2][1:], f"one more version {i}"]
+        rows.append((30 + i, f"http://d.example/{i}", html_of(blocks)))
+        want[30 + i] = "\n\n".join(blocks)
+    return rows, want
+
+
+def test_runs_decide_inside_articles(spark):
+    rows, want = article_pages()
+    found = html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(5))
+    assert {r.page_id: r.text for r in found.collect()} == want
+
+
+def test_many_repeated_runs_are_shuffled(spark, monkeypatch):
+    rows, want = article_pages()
+    rows += [(50 + i, f"http://a.example/open{i}", f"<div>{NOTICE}</div><div>open page {i}</div>") for i in range(2)]
+    want |= {50 + i: f"open page {i}" for i in range(2)}
+    for name, value in (("KEYS", 0), ("SHARD", 1), ("PART", 500)):
+        monkeypatch.setattr(html_text, name, value)
+    found = html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3))
+    assert {r.page_id: r.text for r in found.collect()} == want
+
+
 def test_query_brute_force(spark, folder):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
     found = QUERIES["op8_html_text"](spark, folder).collect()
