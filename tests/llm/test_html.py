@@ -117,6 +117,32 @@ def test_many_repeated_runs_are_shuffled(spark, monkeypatch):
     assert {r.page_id: r.text for r in found.collect()} == want
 
 
+def test_runs_of_one_page_are_not_written(spark, monkeypatch):
+    written = {}
+    stored = html_text.stored
+    monkeypatch.setattr(html_text, "stored", lambda df, label: written.setdefault(label, stored(df, label)))
+    rows = [(i, f"http://a.example/{i}", f"<div>{' '.join(f'w{i}x{k}' for k in range(200))}</div><div>{NOTICE}</div>") for i in range(20)]
+    found = html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
+    assert {len(r.text.split()) for r in found.collect()} == {200}
+    assert written["runs"].count() <= 200  # of 4,000
+
+
+def test_packed_runs():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 50, 5000):
+        runs = rng.integers(-(2**63), 2**63 - 1, n)
+        codes = np.sort(np.concatenate((html_text._codes(runs, 1), [0, (1 << 28) - 1, (1 << 28) - 1])))
+        packed = html_text._pack(codes)
+        assert html_text._unpack(packed, len(codes)).tolist() == codes.tolist()
+        assert len(packed) <= 2.13 * len(codes) + 513
+
+
+def test_long_character_numbers(spark):
+    rows = [(2**60 + 1, "http://a.example", f"<p>a&#{'1' * 5000};b &#x{'0' * 50}41; &#{'0' * 5000}66;c</p>"), (None, "http://a.example/2", "<article>&#65; x</article>")]
+    found = html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r.page_id: r.text for r in found} == {2**60 + 1: "a\ufffdb A Bc", None: "A x"}
+
+
 def test_query_brute_force(spark, folder):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
     found = QUERIES["op8_html_text"](spark, folder).collect()
